@@ -2,9 +2,9 @@
 
 Hour, weekday and place take few values, so training first folds the input into
 weighted cells with one aggregation: solvers and their iterations then read the
-cells, not the observations. The cells carry what the solution depends on, and
-the penalty is rescaled where weighting would shift Spark's standardisation, so
-the fitted model is the one the raw rows would give.
+cells, not the observations. The cells carry all the solution depends on, and the
+penalty is rescaled where weighting would shift Spark's standardisation, so the
+objective is the one the raw rows give.
 """
 
 from __future__ import annotations
@@ -55,19 +55,19 @@ PREDICTION_FORMAT = (
 )
 
 
-def label_counts(df: DataFrame, column: str, weight: Column | None = None) -> DataFrame:
-    """Labels of a column, most frequent first, equals in text order, with their index."""
-    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return df.filter(F.col(column).isNotNull()).groupBy(column).agg(n.alias("n"))
+def index_labels(df: DataFrame, column: str, n: Column | None = None) -> StringIndexerModel:
+    """Index by frequency of the observations, equals in text order.
 
-
-def _indexer(cells: DataFrame, column: str) -> StringIndexerModel:
-    """Index by frequency of the observations behind the cells.
-
-    The vocabulary is part of the model and lives on the driver, as do the
-    coefficients it indexes. Unseen and null values share one extra index.
+    ``n`` is how many observations a row stands for, by default one. The vocabulary is part of
+    the model and lives on the driver, as do the coefficients it indexes. Unseen
+    and null values share one extra index.
     """
-    ordered = label_counts(cells, column, F.col("n")).orderBy(F.desc("n"), column)
+    ordered = (
+        df.filter(F.col(column).isNotNull())
+        .groupBy(column)
+        .agg((F.count(F.lit(1)) if n is None else F.sum(n)).alias("n"))
+        .orderBy(F.desc("n"), column)
+    )
     labels = [row[0] for row in ordered.select(column).collect()]
     return StringIndexerModel.from_labels(
         labels, inputCol=column, outputCol=f"{column}_index", handleInvalid="keep"
@@ -76,7 +76,7 @@ def _indexer(cells: DataFrame, column: str) -> StringIndexerModel:
 
 def _features(cells: DataFrame, inputs: list[str]) -> list:
     """Place index, its one-hot form, and the assembled vector."""
-    indexer = _indexer(cells, "place")
+    indexer = index_labels(cells, "place", F.col("n"))
     encoder = OneHotEncoder(inputCol="place_index", outputCol="place_vec").fit(
         indexer.transform(cells)
     )
@@ -90,15 +90,21 @@ def _transform(df: DataFrame, stages: list) -> DataFrame:
     return df
 
 
-def _require_rows(cells: DataFrame) -> None:
-    if cells.isEmpty():
-        raise ValueError("no complete rows to train on")
-
+def _statistics(cells: DataFrame, **more: Column):
+    """One row of totals over the cells, which must not be empty.
 
-def _degrees(n: str = "n") -> Column:
-    """Divisor of a variance over weighted rows, over that of the rows themselves."""
-    weighted = F.sum(n) - F.sum(F.col(n) * F.col(n)) / F.sum(n)
-    return F.try_divide(weighted, F.sum(n) - 1)
+    ``degrees`` is the divisor Spark uses for a variance over the weighted cells,
+    relative to the one it would use for the rows behind them.
+    """
+    n = F.sum("n")
+    row = cells.agg(
+        n.alias("rows"),
+        F.try_divide(n - F.sum(F.col("n") * F.col("n")) / n, n - 1).alias("degrees"),
+        *[column.alias(name) for name, column in more.items()],
+    ).first()
+    if not row["rows"]:
+        raise ValueError("no complete rows to train on")
+    return row
 
 
 def fit_count(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int = MAX_ITER):
@@ -114,33 +120,33 @@ def fit_count(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int = MAX_
             F.var_pop("v").alias("var_v"),
         )
     )
-    _require_rows(cells)
+    n, v = F.col("n"), F.col("v")
+    statistics = _statistics(
+        cells,
+        mean=F.sum(n * v) / F.sum(n),
+        square=F.sum(n * v * v) / F.sum(n),
+        within=F.sum(n * F.col("var_v")) / F.sum(n),
+    )
     stages = _features(cells, ["hour", "dow"])
     lr = LinearRegression(
         labelCol="v",
         featuresCol="features",
         weightCol="n",
         maxIter=max_iter,
-        regParam=reg_param * _label_scale(cells, len(stages[0].labels) + 2),
+        regParam=reg_param * _label_scale(statistics, len(stages[0].labels) + 2),
     )
     return PipelineModel([*stages, lr.fit(_transform(cells, stages))])
 
 
-def _label_scale(cells: DataFrame, features: int) -> float:
+def _label_scale(statistics, features: int) -> float:
     """Spark divides the penalty by the label's deviation. Cell means deviate less
     than the rows did; this factor makes up for it."""
-    mean = F.sum(F.col("n") * F.col("v")) / F.sum("n")
-    between = F.sum(F.col("n") * F.col("v") * F.col("v")) / F.sum("n") - mean * mean
-    within = F.sum(F.col("n") * F.col("var_v")) / F.sum("n")
-    row = cells.agg(
-        between.alias("between"), within.alias("within"), _degrees().alias("degrees")
-    ).first()
-    total = row["between"] + row["within"]
-    if total <= 0 or row["between"] <= 0:
+    between = statistics["square"] - statistics["mean"] ** 2
+    if between <= 0:
         return 1.0
-    scale = (row["between"] / total) ** 0.5
-    if features > _MAX_SOLVED_FEATURES and row["degrees"]:
-        scale *= row["degrees"] ** 0.5
+    scale = (between / (between + statistics["within"])) ** 0.5
+    if features > _MAX_SOLVED_FEATURES:
+        scale *= (statistics["degrees"] or 1.0) ** 0.5
     return scale
 
 
@@ -158,16 +164,15 @@ def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int =
             F.count(F.lit(1)).cast("double").alias("n")
         )
     )
-    _require_rows(cells)
+    degrees = _statistics(cells)["degrees"] or 1.0
     stages = _features(cells, ["hour", "dow", "v"])
-    label = _indexer(cells, "condition")
-    degrees = cells.agg(_degrees()).first()[0]
+    label = index_labels(cells, "condition", F.col("n"))
     lr = LogisticRegression(
         labelCol="condition_index",
         featuresCol="features",
         weightCol="n",
         maxIter=max_iter,
-        regParam=reg_param * (degrees or 1.0),
+        regParam=reg_param * degrees,
     )
     fitted = lr.fit(_transform(cells, [*stages, label]))
     back = IndexToString(

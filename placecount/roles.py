@@ -68,8 +68,8 @@ class Roles:
         return F.expr(expression) if isinstance(expression, str) else expression
 
 
-def conform(df: DataFrame, roles: Roles) -> DataFrame:
-    """Project ``df`` to the observation contract. Adds no shuffle."""
+def conform(df: DataFrame, roles: Roles, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Project ``df`` to the observation contract, plus the columns to ``keep``."""
     parts = {f.name: roles.column(f.name) for f in fields(roles)}
     if parts["slot_no"] is None:
         parts["slot_no"] = seconds_of_day(parts["slot"])
@@ -79,5 +79,6 @@ def conform(df: DataFrame, roles: Roles) -> DataFrame:
             parts[name].cast(dtype).alias(name)
             for name, dtype in OBS_COLUMNS.items()
             if parts[name] is not None
-        ]
+        ],
+        *keep,
     )

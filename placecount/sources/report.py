@@ -36,16 +36,16 @@ def load_report(df: DataFrame, sample_rows: int = 5) -> LoadReport:
 def load_counts(df: DataFrame) -> DataFrame:
     """One row per column: position, name, type, non-null and total row counts."""
     totals = df.agg(
-        F.count(F.lit(1)).alias("rows"),
+        F.count(F.lit(1)).alias("n_rows"),
         *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)],
     )
     per_column = [
         F.struct(
             F.lit(i).alias("position"),
-            F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("type"),
+            F.lit(f.name).alias("name"),
+            F.lit(f.dataType.simpleString()).alias("dtype"),
             F.col(f"n{i}").alias("non_null"),
-            F.col("rows"),
+            F.col("n_rows"),
         )
         for i, f in enumerate(df.schema)
     ]

@@ -45,6 +45,31 @@ def latest_stream(stream: DataFrame) -> DataFrame:
     )
 
 
+def run_latest(stream: DataFrame, checkpoint: str | None = None) -> DataFrame:
+    """Drain what is there and return the latest count per place so far.
+
+    The state store already holds exactly that, spread over the cluster, so no
+    sink is needed: the query keeps its state in ``checkpoint`` (give the same
+    folder again to continue) and the result is read from there.
+    """
+    spark = stream.sparkSession
+    checkpoint = checkpoint or shared_dir(spark)
+    query = (
+        latest_stream(stream)
+        .writeStream.format("noop")
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    state = spark.read.format("statestore").load(checkpoint)
+    count_field = state.schema["value"].dataType.names[0]
+    return state.select(
+        F.col("key.place").alias("place"), F.col(f"value.{count_field}").alias("v")
+    )
+
+
 def score_stream(
     stream: DataFrame, count_model: PipelineModel, condition_model: PipelineModel
 ) -> DataFrame:
@@ -52,7 +77,7 @@ def score_stream(
     return predict_condition(count_model, condition_model, stream)
 
 
-def run_available(frame: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def run_available(frame: DataFrame) -> DataFrame:
     """Drain an append-mode stream into Parquet on shared storage and read it back."""
     root = shared_dir(frame.sparkSession)
     out = f"{root}/out"
