@@ -74,16 +74,22 @@ def quartiles(latest_counts: DataFrame) -> DataFrame:
             F.sum("n").over(Window.partitionBy()).alias("total"),
         )
     )
+    # Three rows, one per quarter.
     wanted = (
         coarse.withColumn("quarter", F.explode(F.array(*[F.lit(q) for q in _QUARTERS])))
         .withColumn("position", F.expr("quarter * total div 4"))
         .filter("position >= before and position < before + n")
-        .select("high", "quarter", (F.col("position") - F.col("before")).alias("position"))
+        .agg(
+            F.collect_list(
+                F.struct("high", "quarter", (F.col("position") - F.col("before")).alias("position"))
+            )
+        )
     )
     inside = Window.partitionBy("quarter").orderBy("v")
     fine = (
-        # Three rows, whatever the data.
-        latest_counts.join(F.broadcast(wanted), high == F.col("high"))
+        latest_counts.withColumn("wanted", wanted.scalar())
+        .select("v", F.inline("wanted"))
+        .filter(F.col("high") == high)
         .groupBy("quarter", "position", "v")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("before", F.sum("n").over(inside) - F.col("n"))
@@ -139,27 +145,34 @@ def points(latest_counts: DataFrame) -> DataFrame:
     sample (the names with the smallest hashes), so a recomputed task sees the
     same ranges; numbers are given within ranges and shifted by range offsets.
     """
+    # Uses of one frame with the same columns share one shuffle.
+    known = latest_counts.dropna()
     bounds = (
-        latest_counts.select("place", F.xxhash64("place").alias("h"))
+        known.select("place", F.xxhash64("place").alias("h"))
         .orderBy("h", "place")
         .limit(_BOUNDS)
         .agg(F.sort_array(F.collect_list("place")))
         .scalar()
     )
     # Where the name would stand among the boundaries.
-    ranged = latest_counts.withColumn(
+    ranged = known.withColumn(
         "range",
         F.array_position(F.sort_array(F.array_append(bounds, F.col("place"))), F.col("place")),
     )
+    sizes = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    # Every boundary is a name, so ranges number 1, 2, ... without a gap; there are
+    # at most one more of them than boundaries.
+    before = F.sum("n").over(Window.orderBy("range")) - F.col("n")
     offsets = (
-        ranged.groupBy("range")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("offset"))
+        sizes.select(F.struct("range", before.alias("before")).alias("offset"))
+        .agg(F.sort_array(F.collect_list("offset")))
+        .scalar()
     )
-    in_range = Window.partitionBy("range").orderBy("place")
-    return (
-        ranged.withColumn("row", F.row_number().over(in_range) - 1)
-        # At most one row per range, 512 in all.
-        .join(F.broadcast(offsets), "range")
-        .select((F.col("offset") + F.col("row")).alias("idx"), "place", "v")
+    row = F.row_number().over(Window.partitionBy("range").orderBy("place")) - 1
+    return ranged.select("place", "v", "range", row.alias("row")).select(
+        (F.get(offsets, F.col("range").cast("int") - 1).getField("before") + F.col("row")).alias(
+            "idx"
+        ),
+        "place",
+        "v",
     )

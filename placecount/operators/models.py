@@ -10,6 +10,7 @@ objective is the one the raw rows give.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -55,33 +56,70 @@ PREDICTION_FORMAT = (
 )
 
 
-def index_labels(df: DataFrame, column: str, n: Column | None = None) -> StringIndexerModel:
-    """Index by frequency of the observations, equals in text order.
-
-    ``n`` is how many observations a row stands for, by default one. The vocabulary is part of
-    the model and lives on the driver, as do the coefficients it indexes. Unseen
-    and null values share one extra index.
-    """
-    ordered = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg((F.count(F.lit(1)) if n is None else F.sum(n)).alias("n"))
-        .orderBy(F.desc("n"), column)
-    )
-    labels = [row[0] for row in ordered.select(column).collect()]
+def _string_index(column: str, frequency: dict[str | None, float]) -> StringIndexerModel:
+    """Most frequent label first, equals in text order. Unseen and null values share
+    one extra index."""
+    known = [label for label in frequency if label is not None]
     return StringIndexerModel.from_labels(
-        labels, inputCol=column, outputCol=f"{column}_index", handleInvalid="keep"
+        sorted(known, key=lambda label: (-frequency[label], label)),
+        inputCol=column,
+        outputCol=f"{column}_index",
+        handleInvalid="keep",
     )
 
 
-def _features(cells: DataFrame, inputs: list[str]) -> list:
-    """Place index, its one-hot form, and the assembled vector."""
-    indexer = index_labels(cells, "place", F.col("n"))
-    encoder = OneHotEncoder(inputCol="place_index", outputCol="place_vec").fit(
-        indexer.transform(cells)
-    )
-    assembler = VectorAssembler(inputCols=[*inputs, "place_vec"], outputCol="features")
-    return [indexer, encoder, assembler]
+def index_labels(df: DataFrame, column: str) -> StringIndexerModel:
+    """Index of a text column by frequency. The vocabulary is the model."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).collect()
+    return _string_index(column, {row[column]: row["n"] for row in counts})
+
+
+@dataclass(frozen=True)
+class _Training:
+    """What the driver must know of the cells: label frequencies and totals."""
+
+    frequencies: dict[str, dict[str | None, float]]
+    totals: dict[str, float]
+
+    @classmethod
+    def of(cls, cells: DataFrame, weights: dict[str, str], **sums: Column) -> _Training:
+        """``weights`` names the column that counts each label. One job, which
+        collects one row per label; the models hold those anyway."""
+        n, labels = F.col("n"), list(weights)
+        sums = {"n": n, "n_squared": n * n, **sums}
+        sums |= {f"of_{label}": F.col(weight) for label, weight in weights.items()}
+        rows = (
+            cells.groupingSets([[label] for label in labels], *labels)
+            .agg(
+                *[F.grouping(label).alias(f"no_{label}") for label in labels],
+                *[F.sum(column).alias(name) for name, column in sums.items()],
+            )
+            .collect()
+        )
+        by_label = {k: [row for row in rows if not row[f"no_{k}"]] for k in labels}
+        totals = {name: sum(row[name] for row in by_label[labels[0]]) for name in sums}
+        if not totals["n"]:
+            raise ValueError("no complete rows to train on")
+        frequencies = {
+            k: {row[k]: row[f"of_{k}"] for row in part if row[f"of_{k}"]}
+            for k, part in by_label.items()
+        }
+        return cls(frequencies, totals)
+
+    @property
+    def degrees(self) -> float:
+        """Divisor of Spark's variance over weighted cells, by that over single rows."""
+        n = self.totals["n"]
+        return (n - self.totals["n_squared"] / n) / (n - 1) if n > 1 else 1.0
+
+    def place_stages(self, cells: DataFrame, inputs: list[str]) -> list:
+        """Place index, its one-hot form, and the assembled vector."""
+        indexer = _string_index("place", self.frequencies["place"])
+        encoder = OneHotEncoder(inputCol="place_index", outputCol="place_vec").fit(
+            indexer.transform(cells)
+        )
+        assembler = VectorAssembler(inputCols=[*inputs, "place_vec"], outputCol="features")
+        return [indexer, encoder, assembler]
 
 
 def _transform(df: DataFrame, stages: list) -> DataFrame:
@@ -90,23 +128,6 @@ def _transform(df: DataFrame, stages: list) -> DataFrame:
     return df
 
 
-def _statistics(cells: DataFrame, **more: Column):
-    """One row of totals over the cells, which must not be empty.
-
-    ``degrees`` is the divisor Spark uses for a variance over the weighted cells,
-    relative to the one it would use for the rows behind them.
-    """
-    n = F.sum("n")
-    row = cells.agg(
-        n.alias("rows"),
-        F.try_divide(n - F.sum(F.col("n") * F.col("n")) / n, n - 1).alias("degrees"),
-        *[column.alias(name) for name, column in more.items()],
-    ).first()
-    if not row["rows"]:
-        raise ValueError("no complete rows to train on")
-    return row
-
-
 def fit_count(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int = MAX_ITER):
     """Ridge regression of the count on hour, weekday and place."""
     require(obs, "place", "hour", "dow", "v")
@@ -121,33 +142,30 @@ def fit_count(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int = MAX_
         )
     )
     n, v = F.col("n"), F.col("v")
-    statistics = _statistics(
-        cells,
-        mean=F.sum(n * v) / F.sum(n),
-        square=F.sum(n * v * v) / F.sum(n),
-        within=F.sum(n * F.col("var_v")) / F.sum(n),
+    training = _Training.of(
+        cells, {"place": "n"}, v=n * v, v_squared=n * v * v, within=n * F.col("var_v")
     )
-    stages = _features(cells, ["hour", "dow"])
+    stages = training.place_stages(cells, ["hour", "dow"])
     lr = LinearRegression(
         labelCol="v",
         featuresCol="features",
         weightCol="n",
         maxIter=max_iter,
-        regParam=reg_param * _label_scale(statistics, len(stages[0].labels) + 2),
+        regParam=reg_param * _label_scale(training, len(stages[0].labels) + 2),
     )
     return PipelineModel([*stages, lr.fit(_transform(cells, stages))])
 
 
-def _label_scale(statistics, features: int) -> float:
+def _label_scale(training: _Training, features: int) -> float:
     """Spark divides the penalty by the label's deviation. Cell means deviate less
     than the rows did; this factor makes up for it."""
-    between = statistics["square"] - statistics["mean"] ** 2
+    totals = training.totals
+    mean = totals["v"] / totals["n"]
+    between = totals["v_squared"] / totals["n"] - mean**2
     if between <= 0:
         return 1.0
-    scale = (between / (between + statistics["within"])) ** 0.5
-    if features > _MAX_SOLVED_FEATURES:
-        scale *= (statistics["degrees"] or 1.0) ** 0.5
-    return scale
+    scale = (between / (between + totals["within"] / totals["n"])) ** 0.5
+    return scale if features <= _MAX_SOLVED_FEATURES else scale * training.degrees**0.5
 
 
 def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int = MAX_ITER):
@@ -158,21 +176,26 @@ def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int =
     in place as it takes part in the fit, but is never a predicted label.
     """
     require(obs, "place", "hour", "dow", "v", "condition")
-    complete = obs.select(*[c for c in DATA_COLUMNS if c in obs.columns]).dropna()
+    complete = reduce(
+        Column.__and__, [F.col(c).isNotNull() for c in DATA_COLUMNS if c in obs.columns]
+    )
     cells = durable(
-        complete.groupBy("place", "hour", "dow", "v", "condition").agg(
-            F.count(F.lit(1)).cast("double").alias("n")
+        obs.groupBy("place", "hour", "dow", "v", "condition").agg(
+            F.count_if(complete).cast("double").alias("n"),
+            F.count(F.lit(1)).cast("double").alias("n_all"),
         )
     )
-    degrees = _statistics(cells)["degrees"] or 1.0
-    stages = _features(cells, ["hour", "dow", "v"])
-    label = index_labels(cells, "condition", F.col("n"))
+    # The label index knows the conditions of all rows, as it would if fitted first.
+    training = _Training.of(cells, {"place": "n", "condition": "n_all"})
+    cells = cells.filter("n > 0")
+    stages = training.place_stages(cells, ["hour", "dow", "v"])
+    label = _string_index("condition", training.frequencies["condition"])
     lr = LogisticRegression(
         labelCol="condition_index",
         featuresCol="features",
         weightCol="n",
         maxIter=max_iter,
-        regParam=reg_param * degrees,
+        regParam=reg_param * training.degrees,
     )
     fitted = lr.fit(_transform(cells, [*stages, label]))
     back = IndexToString(
