@@ -88,7 +88,8 @@ def quartiles(latest_counts: DataFrame) -> DataFrame:
     inside = Window.partitionBy("quarter").orderBy("v")
     fine = (
         latest_counts.withColumn("wanted", wanted.scalar())
-        .select("v", F.inline("wanted"))
+        # Outer, or Spark would infer a filter for the scan and not share the shuffle.
+        .select("v", F.inline_outer("wanted"))
         .filter(F.col("high") == high)
         .groupBy("quarter", "position", "v")
         .agg(F.count(F.lit(1)).alias("n"))
