@@ -2,9 +2,9 @@
 
 Hour, weekday and place take few values, so training first folds the input into
 weighted cells with one aggregation: solvers and their iterations then read the
-cells, not the observations. The cells carry all the solution depends on, and the
-penalty is rescaled where weighting would shift Spark's standardisation, so the
-objective is the one the raw rows give.
+cells, not the observations. The cells carry all the solution depends on, and
+where weighting would shift Spark's standardisation that is made up for, so the
+fitted model is the one the raw rows give.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ REG_PARAM = 0.1
 MAX_ITER = 10
 # Above this many features Spark's linear regression iterates instead of solving.
 _MAX_SOLVED_FEATURES = 4096
+# No training row of the classifier stands for more than this share of the input.
+_PIECE_SHARE = 1e-6
 # Columns the stages add; scoring drops them again.
 _STAGE_COLUMNS = (
     "place_index",
@@ -168,6 +170,22 @@ def _label_scale(training: _Training, features: int) -> float:
     return scale if features <= _MAX_SOLVED_FEATURES else scale * training.degrees**0.5
 
 
+def _pieces(cells: DataFrame, rows: float) -> DataFrame:
+    """Cells cut so that none stands for more than a millionth of the rows.
+
+    Spark's deviations over weighted rows depend on how uneven the weights are,
+    and with them the steps of the iteration. So cut they differ from those of the
+    raw rows by a millionth at most, and up to a million rows not at all, as each
+    piece is then one row. At most a million pieces are added.
+    """
+    pieces = F.ceil(F.col("n") / max(1.0, rows * _PIECE_SHARE))
+    cut = cells.withColumn("pieces", pieces).select(
+        "*", F.explode(F.sequence(F.lit(1), F.col("pieces"))).alias("piece")
+    )
+    keys = [c for c in cells.columns if c not in ("n", "n_all")]
+    return cut.withColumn("n", F.col("n") / F.col("pieces")).repartition(*keys, "piece")
+
+
 def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int = MAX_ITER):
     """Multinomial logistic regression of the condition on hour, weekday, count and
     place, over the rows without any null.
@@ -187,7 +205,7 @@ def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int =
     )
     # The label index knows the conditions of all rows, as it would if fitted first.
     training = _Training.of(cells, {"place": "n", "condition": "n_all"})
-    cells = cells.filter("n > 0")
+    cells = _pieces(cells.filter("n > 0"), training.totals["n"])
     stages = training.place_stages(cells, ["hour", "dow", "v"])
     label = _string_index("condition", training.frequencies["condition"])
     lr = LogisticRegression(
@@ -195,7 +213,7 @@ def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int =
         featuresCol="features",
         weightCol="n",
         maxIter=max_iter,
-        regParam=reg_param * training.degrees,
+        regParam=reg_param,
     )
     fitted = lr.fit(_transform(cells, [*stages, label]))
     back = IndexToString(

@@ -83,18 +83,40 @@ def test_cells_give_the_regression_of_the_rows(spark, coarse):
     assert got.intercept == pytest.approx(want.intercept)
 
 
-def test_cells_give_the_classifier_of_the_rows(spark):
-    """Same objective, so the same optimum; few places and values fold many rows."""
-    obs = events(spark, SF_DIR).withColumns(
+def coarse_events(spark):
+    """Few places and values, so that many rows fold into one cell."""
+    return events(spark, SF_DIR).withColumns(
         {"place": F.expr("cast(cast(place as int) % 3 as string)"), "v": F.expr("v div 100")}
     )
-    got = models.fit_condition(obs, max_iter=200).stages[-2]
+
+
+def plain_classifier(obs):
     label = StringIndexer(inputCol="condition", outputCol="label", handleInvalid="keep")
-    lr = LogisticRegression(maxIter=200, regParam=0.1)
-    want = plain_pipeline(["hour", "dow", "v"], label, lr).fit(obs).stages[-1]
-    assert np.allclose(
-        got.coefficientMatrix.toArray(), want.coefficientMatrix.toArray(), atol=1e-4
+    lr = LogisticRegression(maxIter=10, regParam=0.1)
+    return plain_pipeline(["hour", "dow", "v"], label, lr).fit(obs).stages[-1]
+
+
+def test_cells_give_the_classifier_of_the_rows(spark):
+    obs = coarse_events(spark)
+    got = models.fit_condition(obs).stages[-2].coefficientMatrix.toArray()
+    want = plain_classifier(obs).coefficientMatrix.toArray()
+    assert np.allclose(got, want, atol=1e-9)
+
+
+def test_cells_too_large_for_single_rows(spark, monkeypatch):
+    """As with more than a million rows: pieces stand for several rows each."""
+    monkeypatch.setattr(models, "_PIECE_SHARE", 1 / 300)
+    obs = coarse_events(spark)
+    got = models.fit_condition(obs).stages[-2].coefficientMatrix.toArray()
+    want = plain_classifier(obs).coefficientMatrix.toArray()
+    assert not np.array_equal(got, want) and np.allclose(got, want, atol=5e-3)
+    cells = spark.createDataFrame([("a", 1000.0), ("b", 1.0), ("c", 2.5)], "place string, n double")
+    cut = models._pieces(cells, 1003.5).groupBy("place").agg(
+        F.count("n"), F.max("n"), F.round(F.sum("n"), 9)
     )
+    by_place = {r[0]: tuple(r[1:]) for r in cut.collect()}
+    assert by_place["b"] == (1, 1.0, 1.0) and by_place["c"] == (1, 2.5, 2.5)
+    assert by_place["a"][0] == 299 and by_place["a"][2] == 1000.0
 
 
 def test_nulls_do_not_stop_training(spark, known):
