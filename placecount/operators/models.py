@@ -88,7 +88,7 @@ class _Training:
         """``weights`` names the column that counts each label. One job, which
         collects one row per label; the models hold those anyway."""
         n, labels = F.col("n"), list(weights)
-        sums = {"n": n, "n_squared": n * n, **sums}
+        sums = {"n": n, "n_squared": n * n, "cells": F.lit(1), **sums}
         sums |= {f"of_{label}": F.col(weight) for label, weight in weights.items()}
         rows = (
             cells.groupingSets([[label] for label in labels], *labels)
@@ -182,8 +182,7 @@ def _pieces(cells: DataFrame, rows: float) -> DataFrame:
     cut = cells.withColumn("pieces", pieces).select(
         "*", F.explode(F.sequence(F.lit(1), F.col("pieces"))).alias("piece")
     )
-    keys = [c for c in cells.columns if c not in ("n", "n_all")]
-    return cut.withColumn("n", F.col("n") / F.col("pieces")).repartition(*keys, "piece")
+    return cut.withColumn("n", F.col("n") / F.col("pieces"))
 
 
 def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int = MAX_ITER):
@@ -206,6 +205,9 @@ def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int =
     # The label index knows the conditions of all rows, as it would if fitted first.
     training = _Training.of(cells, {"place": "n", "condition": "n_all"})
     cells = _pieces(cells.filter("n > 0"), training.totals["n"])
+    if training.totals["cells"] * _PIECE_SHARE < 1:
+        # Pieces may outnumber cells, so spread them; else cells are spread already.
+        cells = cells.repartition("place", "hour", "dow", "v", "condition", "piece")
     stages = training.place_stages(cells, ["hour", "dow", "v"])
     label = _string_index("condition", training.frequencies["condition"])
     lr = LogisticRegression(
