@@ -7,16 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placecount.llm import mixing, urlfilter
+from placecount.llm import fingerprint, mixing, pieces, quality, secret_scan, toxicity, urlfilter, warc
+from placecount.llm.shipping import ship
 from placecount.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The public merge-type vocabulary, where it is installed.
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+
 # Names of hosts that the query's block list holds.
 BLOCKED_NAMES = ("adult", "casino", "porn", "xxx", "bet", "pills", "warez")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
@@ -28,14 +33,68 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(weighted).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, model, keep=("doc_id",)).select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        F.col("toxic").cast("int").alias("predicted"),
+    )
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return warc.archive_and_read(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages", "page_id", "url")
     keys = urlfilter.hosts_with(pages, BLOCKED_NAMES)
     return urlfilter.judge(pages, keys).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_edited(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    found = secret_scan.scan(docs, owner=F.col("source"), repo=F.col("doc_id"))
+
+    def of_kind(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        of_kind(0).alias("n_assign"),
+        of_kind(1).alias("n_access"),
+        of_kind(2).alias("n_hex"),
+        F.sha2(secret_scan.describe(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.describe(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return pieces.encode_documents(docs, MODEL_FILE)
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents", "doc_id", "lang", "text"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_toxicity": op2_toxicity,
+        "op3_warc": op3_warc,
         "op4_url_filter": op4_url_filter,
+        "op5_fingerprint": op5_fingerprint,
+        "op7_secret_scan": op7_secret_scan,
+        "op8_sentencepiece": op8_sentencepiece,
+        "op9_quality_rules": op9_quality_rules,
     }

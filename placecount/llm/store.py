@@ -43,4 +43,4 @@ def create(uri: str):
     """A new file open for writing. Its folder is made if need be."""
     system, path = _at(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)  # bytes as they are given

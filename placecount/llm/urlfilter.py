@@ -169,7 +169,7 @@ def listed(rows: DataFrame, key: str, path: str, shards: int) -> DataFrame:
             "_h2": F.when(F.col(key).isNotNull(), h2),
         }
     ).withColumn("_shard", F.pmod("_h1", F.lit(shards)))
-    out = rows.schema.simpleString()[len("struct<") : -1]
+    out = rows.select("*").schema.add("listed", "boolean")
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, levels = None, []
@@ -192,7 +192,7 @@ def listed(rows: DataFrame, key: str, path: str, shards: int) -> DataFrame:
             kept = batch.drop_columns(spare)
             yield kept.append_column("listed", pa.array(found))
 
-    return local.sortWithinPartitions("_shard").mapInArrow(look_up, f"{out}, listed boolean")
+    return local.sortWithinPartitions("_shard").mapInArrow(look_up, out)
 
 
 def judge(pages: DataFrame, keys: DataFrame, rules=RULES) -> DataFrame:
