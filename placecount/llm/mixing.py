@@ -72,6 +72,10 @@ def water_fill(sizes: DataFrame, cycle: tuple[int, ...] = CYCLE, max_epochs: int
     )
 
 
+# Up to so many sources, what is known of each is sent to all tasks.
+BROADCAST_SOURCES = 10_000
+
+
 def _choice() -> Column:
     return F.struct("key", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("id"), "size")
 
@@ -97,6 +101,11 @@ def mix(sized: DataFrame, cycle: tuple[int, ...] = CYCLE, max_epochs: int = MAX_
         .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
         .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
     )
+    few = targets.count() <= BROADCAST_SOURCES
+
+    def of_source(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if few else df
+
     upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     edges = (
         sums.withColumn("before", F.coalesce(F.sum("size").over(upto), F.lit(0)))
@@ -105,7 +114,7 @@ def mix(sized: DataFrame, cycle: tuple[int, ...] = CYCLE, max_epochs: int = MAX_
         .select(F.col("source").alias("s"), F.col("bucket").alias("edge"), "before", "rest")
     )
     order = Window.partitionBy("source").orderBy(_choice()).rowsBetween(Window.unboundedPreceding, -1)
-    in_edge = keyed.join(edges, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("edge")))
+    in_edge = keyed.join(of_source(edges), F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("edge")))
     taken = in_edge.withColumn("gone", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))).where(
         F.col("gone") + F.col("size") / 2 <= F.col("rest")
     )
@@ -126,7 +135,7 @@ def mix(sized: DataFrame, cycle: tuple[int, ...] = CYCLE, max_epochs: int = MAX_
         F.lit(False),
     )
     return (
-        keyed.join(plan, F.col("source").eqNullSafe(F.col("t")))
+        keyed.join(of_source(plan), F.col("source").eqNullSafe(F.col("t")))
         .withColumn("repeats", F.when(F.col("size") > 0, F.col("epochs") + chosen.cast("int")).otherwise(0).cast("int"))
         .withColumn("taken", F.col("repeats").cast("long") * F.col("size"))
         .drop("t", "key", "bucket", "epochs", "edge", "cut")

@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
@@ -149,10 +150,18 @@ def vocabulary_of(model_file: str, check: bool) -> Vocabulary:
     return Vocabulary(model_file, check)
 
 
-def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = ("doc_id",), check: bool = True) -> DataFrame:
-    """Adds n_tokens, ids_sha256 and decoded_sha256 to the kept columns of ``docs``: ids
-    with an end id, and the text they decode to. Null text is empty: its end id alone."""
-    schema = StructType([*docs.select(*keep).schema, *StructType.fromDDL(_OUT)])
+def encode_documents(
+    docs: DataFrame,
+    model_file: str,
+    keep: tuple[str, ...] = ("doc_id",),
+    check: bool = True,
+    with_ids: bool = False,
+) -> DataFrame:
+    """Adds n_tokens, ids_sha256, decoded_sha256 and, if asked for, the ids to the kept
+    columns of ``docs``: ids with an end id, and the text they decode to. Null text is
+    empty: its end id alone. Repeated rows are encoded one by one."""
+    added = StructType.fromDDL(_OUT + ", ids array<int>" * with_ids)
+    schema = StructType([*docs.select(*keep).schema, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = vocabulary_of(model_file, check)
@@ -160,14 +169,14 @@ def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = (
             column = batch.column("_text")
             for start, stop in blocks(column):
                 texts = [t or "" for t in column.slice(start, stop - start).to_pylist()]
-                yield _encoded(vocabulary, texts, batch.select(list(keep)).slice(start, stop - start))
+                yield _encoded(vocabulary, texts, batch.select(list(keep)).slice(start, stop - start), with_ids)
 
     return docs.select(*keep, docs["text"].alias("_text")).mapInArrow(run, schema)
 
 
-def _encoded(vocabulary: Vocabulary, texts: list[str], kept: pa.RecordBatch) -> pa.RecordBatch:
+def _encoded(vocabulary: Vocabulary, texts: list[str], kept: pa.RecordBatch, with_ids: bool) -> pa.RecordBatch:
     vocabulary.learn(texts)
-    counts, ids_sha, decoded_sha = [], [], []
+    counts, ids_sha, decoded_sha, arrays = [], [], [], []
     for i, text in enumerate(texts):
         joined, n = vocabulary.encode_known(text)
         ids = [*map(int, joined.split())]
@@ -178,8 +187,10 @@ def _encoded(vocabulary: Vocabulary, texts: list[str], kept: pa.RecordBatch) ->
                 raise ValueError("encoding or decoding of a text differs from the library's")
         whole = f"{joined} {vocabulary.end}" if joined else str(vocabulary.end)
         counts.append(n + 1)
+        if with_ids:
+            arrays.append(np.array([*ids, vocabulary.end], np.int32))
         ids_sha.append(hashlib.sha256(whole.encode()).hexdigest())
         decoded_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
     for name, values in (("n_tokens", counts), ("ids_sha256", ids_sha), ("decoded_sha256", decoded_sha)):
         kept = kept.append_column(name, pa.array(values, pa.int64() if name == "n_tokens" else pa.string()))
-    return kept
+    return kept.append_column("ids", pa.array(arrays, pa.list_(pa.int32()))) if with_ids else kept

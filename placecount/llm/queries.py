@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placecount.llm import fingerprint, mixing, pieces, quality, secret_scan, toxicity, urlfilter, warc
+from placecount.llm import (
+    fingerprint,
+    jaccard,
+    mixing,
+    pieces,
+    quality,
+    secret_scan,
+    suffix_tree,
+    toxicity,
+    urlfilter,
+    warc,
+)
 from placecount.llm.shipping import ship
 from placecount.session import durable
 
@@ -61,6 +72,10 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edited(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_classes(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "source", "text")
     found = secret_scan.scan(docs, owner=F.col("source"), repo=F.col("doc_id"))
@@ -87,6 +102,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents", "doc_id", "lang", "text"))
 
 
+def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = toxicity.fold(F.col("doc_id")) == 1
+    return suffix_tree.score(docs, learns=~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -94,7 +117,9 @@ def queries() -> dict[str, Query]:
         "op3_warc": op3_warc,
         "op4_url_filter": op4_url_filter,
         "op5_fingerprint": op5_fingerprint,
+        "op6_jaccard_join": op6_jaccard_join,
         "op7_secret_scan": op7_secret_scan,
         "op8_sentencepiece": op8_sentencepiece,
         "op9_quality_rules": op9_quality_rules,
+        "op10_suffix_tree": op10_suffix_tree,
     }

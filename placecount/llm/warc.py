@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -188,9 +189,11 @@ def read_records(index: DataFrame, payload: bool = False) -> DataFrame:
     """The records that the index rows point to, with their payload if asked for."""
     schema = _RECORD + ", payload binary" * payload
     names = [part.split()[0] for part in schema.split(", ")]
+    # Tasks by the bytes to be read, which the few bytes of index rows do not tell.
+    total = index.agg(F.sum("length")).first()[0] or 0
     ranges = (
         index.select("archive", "offset", "length", F.floor(F.col("offset") / RANGE_BYTES).alias("part"))
-        .repartition("archive", "part")
+        .repartition(max(1, math.ceil(total / RANGE_BYTES)), "archive", "part")
         .sortWithinPartitions("archive", "offset")
     )
 

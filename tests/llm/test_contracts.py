@@ -105,3 +105,19 @@ def test_sql(name, results, sf_dir):
 
     want = oracle_connection(sf_dir).execute(oracle_sql()[name]).df()
     assert canonical(results(name)) == canonical(want)
+
+
+def test_jaccard_components(results, tables):
+    got = results("op6_jaccard_join")
+    want = brute.jaccard_components(tables("documents", "doc_id", "text"))
+    assert rows(got, "doc_id", "n_shingles", "component_id") == want
+
+
+def test_language_model(results, tables):
+    got = results("op10_suffix_tree")
+    want = brute.unigrams(tables("documents", "doc_id", "text"))
+    exact = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens")
+    assert rows(got, *exact) == [row[:-1] for row in want]
+    assert np.allclose(got.sort_values("doc_id").base_score, [row[-1] for row in want], rtol=1e-9)
+    held_out = got[got.held_out]
+    assert held_out.score.sum() > held_out.base_score.sum()
