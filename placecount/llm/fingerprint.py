@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
-from placecount.llm.text import text_shingles
+from placecount.llm.text import blocks, text_shingles
 
 SHINGLE_WORDS = 5
 FRACTION = 8  # one hash in so many is kept
@@ -163,17 +163,19 @@ def compare_with_edited(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the row still waiting for its next one
         for batch in batches:
-            texts = batch.column("text")
-            rows = zip(
-                *(batch.column(c).to_pylist() for c in ("part", "guest", "doc_id", "text")), sketches(texts)
-            )
-            pairs = []
-            for row in rows:
-                if last is not None and last[0] == row[0]:
-                    pairs.append((last, row))
-                last = None if row[1] else row
-            if pairs:
-                yield _compared(pairs, batch.schema.field("doc_id").type)
+            for start, stop in blocks(batch.column("text")):
+                block = batch.slice(start, stop - start)
+                rows = zip(
+                    *(block.column(c).to_pylist() for c in ("part", "guest", "doc_id", "text")),
+                    sketches(block.column("text")),
+                )
+                pairs = []
+                for row in rows:
+                    if last is not None and last[0] == row[0]:
+                        pairs.append((last, row))
+                    last = None if row[1] else row
+                if pairs:
+                    yield _compared(pairs, batch.schema.field("doc_id").type)
 
     return beside_next(docs).mapInArrow(run, schema)
 
