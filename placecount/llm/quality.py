@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from placecount.llm import text as tx
+from placecount.session import durable
 
 COMMON_WORDS = 50
 MIN_CHARS = 400
@@ -124,7 +125,7 @@ def references(docs: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("n"))
     )
     by_count = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    top = counted.withColumn("place", F.row_number().over(by_count)).where(F.col("place") <= COMMON_WORDS)
+    top = durable(counted.withColumn("place", F.row_number().over(by_count)).where(F.col("place") <= COMMON_WORDS))
     words = top.where("kind = 2").select(F.col("lang").alias("of"), F.col("n").alias("all"))
     total = words.agg(F.sum("all").alias("total"))
     large = words.crossJoin(F.broadcast(total)).where(F.col("all") >= MIN_LANGUAGE_SHARE * F.col("total")).select("of")
