@@ -96,8 +96,8 @@ def part_keys(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
                 number = np.concatenate([number, empty])
                 content = np.concatenate([content, np.zeros(len(empty), _U)])
                 size = np.concatenate([size, np.zeros(len(empty), np.int64)])
-            scheme = _U(band * SEEDS + seed + 1)
-            key = mix(content ^ mix(number * _C2 + scheme * _C3))
+            scheme = np.array([band * SEEDS + seed + 1], _U) * _C3
+            key = mix(content ^ mix(number * _C2 + scheme))
             keys.append(key[np.lexsort((key, -size))[: most + 1]] if enough else key)
             if enough:
                 break
