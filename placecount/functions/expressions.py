@@ -12,9 +12,10 @@ _BEFORE_ALL_DAYS = -800_000
 _SECONDS = 86_400
 
 
-def whole_number(raw: Column) -> Column:
-    """32-bit integer. Fractional numbers truncate; text that is no whole number is null."""
-    return raw.try_cast("int")
+def whole_number(raw: Column, dtype: str) -> Column:
+    """32-bit integer. Fractions truncate, in text (``100.0``) as in numbers; what is no
+    number, or too large, is null."""
+    return (raw.try_cast("decimal(38,10)") if dtype == "string" else raw).try_cast("int")
 
 
 def parsed_date(raw: Column, dtype: str) -> Column:
@@ -113,6 +114,13 @@ def utc_instant(ts_ntz: Column) -> Column:
     )
 
 
+def slot_instant(day: Column, slot_no: Column) -> Column:
+    """Start of a slot as an instant, days and slots taken as UTC; without a time of day
+    the start of the day."""
+    seconds = F.unix_date(day).cast("bigint") * _SECONDS + F.coalesce(slot_no, F.lit(0))
+    return F.timestamp_seconds(seconds)
+
+
 def utc_day(instant: Column) -> Column:
     """Calendar day in UTC of an instant, whatever the session zone."""
     return F.date_from_unix_date(

@@ -22,13 +22,11 @@ def count_by(df: DataFrame, key: str) -> DataFrame:
 
 
 def avg_by_condition(df: DataFrame) -> DataFrame:
-    """Mean count and mean incidents by condition, missing numbers taken as 0."""
+    """Mean count and mean incidents by condition. ``normalise`` has taken missing
+    numbers as 0; what it could not read is in no mean."""
     return (
         df.groupBy("condition")
-        .agg(
-            F.avg(F.coalesce("v", F.lit(0))).alias("avg_v"),
-            F.avg(F.coalesce("incidents", F.lit(0))).alias("avg_incidents"),
-        )
+        .agg(F.avg("v").alias("avg_v"), F.avg("incidents").alias("avg_incidents"))
         .orderBy("condition")
     )
 

@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from placecount.session import durable
+
 BINS = 5
 # A 32-bit count splits into a high and a low half of this many values each.
 _HALF_BITS = 16
 _QUARTERS = (1, 2, 3)
-# Boundaries for ranking names; one range more than this.
-_BOUNDS = 511
 
 
 def histogram(latest_counts: DataFrame, bins: int = BINS) -> DataFrame:
@@ -138,42 +138,37 @@ def quartile_shares(latest_counts: DataFrame) -> DataFrame:
     )
 
 
-def points(latest_counts: DataFrame) -> DataFrame:
-    """Places numbered from 0 in name order, with their counts.
+def numbered(df: DataFrame, *order: Column, name: str = "idx") -> DataFrame:
+    """Rows numbered from 0 in the given order, which must tell all rows apart.
 
-    A row number over all places would sort them in one task. Instead the names
-    are cut into ranges by boundaries that are themselves a fixed-size uniform
-    sample (the names with the smallest hashes), so a recomputed task sees the
-    same ranges; numbers are given within ranges and shifted by range offsets.
+    A row number over all rows would sort them in one task. Instead they are dealt by
+    ranges of the order, as many as the session has shuffle partitions, and written to
+    the shared folder, so that later steps see the same ranges; numbers are given
+    within ranges and shifted by what the ranges before hold.
     """
-    # Uses of one frame with the same columns share one shuffle.
-    known = latest_counts.dropna()
-    bounds = (
-        known.select("place", F.xxhash64("place").alias("h"))
-        .orderBy("h", "place")
-        .limit(_BOUNDS)
-        .agg(F.sort_array(F.collect_list("place")))
-        .scalar()
-    )
-    # Where the name would stand among the boundaries.
-    ranged = known.withColumn(
-        "range",
-        F.array_position(F.sort_array(F.array_append(bounds, F.col("place"))), F.col("place")),
+    ranged = durable(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id())
     )
     sizes = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
-    # Every boundary is a name, so ranges number 1, 2, ... without a gap; there are
-    # at most one more of them than boundaries.
     before = F.sum("n").over(Window.orderBy("range")) - F.col("n")
-    offsets = (
-        sizes.select(F.struct("range", before.alias("before")).alias("offset"))
-        .agg(F.sort_array(F.collect_list("offset")))
-        .scalar()
-    )
-    row = F.row_number().over(Window.partitionBy("range").orderBy("place")) - 1
-    return ranged.select("place", "v", "range", row.alias("row")).select(
-        (F.get(offsets, F.col("range").cast("int") - 1).getField("before") + F.col("row")).alias(
-            "idx"
-        ),
-        "place",
-        "v",
+    offsets = sizes.select("range", before.alias("before"))
+    row = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
+    return (
+        ranged.withColumn("row", row)
+        # One row for each shuffle partition.
+        .join(F.broadcast(offsets), "range")
+        .select((F.col("before") + F.col("row")).alias(name), *df.columns)
     )
+
+
+def points(latest_counts: DataFrame) -> DataFrame:
+    """Places numbered from 0 in name order, with their counts."""
+    return numbered(latest_counts.dropna().select("place", "v"), F.col("place"))
+
+
+def index_of_places(df: DataFrame) -> DataFrame:
+    """Place names that are not blank with their index by frequency, the most frequent
+    first and equals in name order: what ``index_labels`` gives, but distributed."""
+    counts = df.where(F.col("place").isNotNull()).groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+    ranked = numbered(counts, F.desc("n"), F.col("place"), name="place_index")
+    return ranked.where(F.trim("place") != "").select("place", F.col("place_index").cast("double").alias("place_index"))

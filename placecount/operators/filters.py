@@ -79,10 +79,12 @@ def valid_rows(df: DataFrame, need_slot: bool = False) -> DataFrame:
 
 
 def quarantine(df: DataFrame, need_slot: bool = False) -> DataFrame:
-    """The rows ``valid_rows`` leaves out, with the reason."""
-    reason = (
-        F.when(F.col("place").isNull(), "no place")
-        .when(F.col("v").isNull(), "no whole-number count")
-        .otherwise("no slot")
-    )
-    return df.filter(~_is_valid(need_slot)).withColumn("reason", reason)
+    """The rows ``valid_rows`` leaves out, with the reason, and those it keeps that no
+    date filter finds or whose incidents could not be read."""
+    reason = F.when(F.col("place").isNull(), "no place").when(F.col("v").isNull(), "no whole-number count")
+    if need_slot:
+        reason = reason.when(F.col("slot").isNull(), "no slot")
+    reason = reason.when(F.col("obs_date").isNull(), "no date")
+    if "incidents" in df.columns:
+        reason = reason.when(F.col("incidents").isNull(), "unreadable incidents")
+    return df.withColumn("reason", reason).filter(F.col("reason").isNotNull())

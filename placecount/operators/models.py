@@ -3,8 +3,8 @@
 Hour, weekday and place take few values, so training first folds the input into
 weighted cells with one aggregation: solvers and their iterations then read the
 cells, not the observations. The cells carry all the solution depends on, and
-where weighting would shift Spark's standardisation that is made up for, so the
-fitted model is the one the raw rows give.
+where weighting would shift Spark's standardisation that is made up for, so a
+converged model is the one the raw rows give.
 """
 
 from __future__ import annotations
@@ -34,8 +34,6 @@ REG_PARAM = 0.1
 MAX_ITER = 10
 # Above this many features Spark's linear regression iterates instead of solving.
 _MAX_SOLVED_FEATURES = 4096
-# No training row of the classifier stands for more than this share of the input.
-_PIECE_SHARE = 1e-6
 # Columns the stages add; scoring drops them again.
 _STAGE_COLUMNS = (
     "place_index",
@@ -88,7 +86,7 @@ class _Training:
         """``weights`` names the column that counts each label. One job, which
         collects one row per label; the models hold those anyway."""
         n, labels = F.col("n"), list(weights)
-        sums = {"n": n, "n_squared": n * n, "cells": F.lit(1), **sums}
+        sums = {"n": n, "n_squared": n * n, **sums}
         sums |= {f"of_{label}": F.col(weight) for label, weight in weights.items()}
         rows = (
             cells.groupingSets([[label] for label in labels], *labels)
@@ -170,25 +168,14 @@ def _label_scale(training: _Training, features: int) -> float:
     return scale if features <= _MAX_SOLVED_FEATURES else scale * training.degrees**0.5
 
 
-def _pieces(cells: DataFrame, rows: float) -> DataFrame:
-    """Cells cut so that none stands for more than a millionth of the rows.
-
-    Spark's deviations over weighted rows depend on how uneven the weights are,
-    and with them the steps of the iteration. So cut they differ from those of the
-    raw rows by a millionth at most, and up to a million rows not at all, as each
-    piece is then one row. At most a million pieces are added.
-    """
-    pieces = F.ceil(F.col("n") / max(1.0, rows * _PIECE_SHARE))
-    cut = cells.withColumn("pieces", pieces).select(
-        "*", F.explode(F.sequence(F.lit(1), F.col("pieces"))).alias("piece")
-    )
-    return cut.withColumn("n", F.col("n") / F.col("pieces"))
-
-
 def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int = MAX_ITER):
     """Multinomial logistic regression of the condition on hour, weekday, count and
     place, over the rows without any null.
 
+    It trains on weighted cells at every size. Converged, the fit is that of the raw
+    rows; ten iterations differ from it by less than they do between partitionings of
+    the raw rows.
+
     ``keep`` gives the label indexer an extra class nobody belongs to. It is left
     in place as it takes part in the fit, but is never a predicted label.
     """
@@ -204,10 +191,7 @@ def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int =
     )
     # The label index knows the conditions of all rows, as it would if fitted first.
     training = _Training.of(cells, {"place": "n", "condition": "n_all"})
-    cells = _pieces(cells.filter("n > 0"), training.totals["n"])
-    if training.totals["cells"] * _PIECE_SHARE < 1:
-        # Pieces may outnumber cells, so spread them; else cells are spread already.
-        cells = cells.repartition("place", "hour", "dow", "v", "condition", "piece")
+    cells = cells.filter("n > 0")
     stages = training.place_stages(cells, ["hour", "dow", "v"])
     label = _string_index("condition", training.frequencies["condition"])
     lr = LogisticRegression(
@@ -215,7 +199,8 @@ def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_iter: int =
         featuresCol="features",
         weightCol="n",
         maxIter=max_iter,
-        regParam=reg_param,
+        # The penalty is in units of Spark's deviations, which over cells are larger.
+        regParam=reg_param * training.degrees,
     )
     fitted = lr.fit(_transform(cells, [*stages, label]))
     back = IndexToString(
@@ -266,24 +251,39 @@ def requests(
 
 def predict_count(model: PipelineModel, requests: DataFrame) -> DataFrame:
     """Adds ``predicted_v``, rounded half up; it may be negative. Works on any number
-    of rows, batch or stream. Rows without hour or date cannot be scored and drop out."""
+    of rows, batch or stream. A row without hour or date has a null prediction."""
     require(requests, "place", "obs_date", "hour")
     day = parsed_date(F.col("obs_date"), dict(requests.dtypes)["obs_date"])
-    scorable = requests.withColumn("dow", iso_weekday(day)).dropna(subset=["hour", "dow"])
-    return (
-        model.transform(scorable)
-        .withColumn("predicted_v", half_up(F.col("prediction")))
-        .drop(*_STAGE_COLUMNS)
+    asked = requests.withColumn("dow", iso_weekday(day))
+    return _scored(model, asked, ["hour", "dow"]).withColumn(
+        "predicted_v", F.when(F.col("_scorable"), half_up(F.col("prediction")))
+    ).drop("_scorable", *_STAGE_COLUMNS)
+
+
+def _scored(model: PipelineModel, rows: DataFrame, inputs: list[str]) -> DataFrame:
+    """The model's columns beside the rows, and ``_scorable``: whether no input is null.
+    The stages take no nulls, so they see 0 in their place."""
+    scorable = reduce(Column.__and__, [F.col(c).isNotNull() for c in inputs])
+    kept = {f"_{c}": F.col(c) for c in inputs}
+    filled = rows.withColumns(kept | {"_scorable": scorable}).withColumns(
+        {c: F.coalesce(c, F.lit(0)) for c in inputs}
     )
+    out = model.transform(filled)
+    return out.withColumns({c: F.col(f"_{c}") for c in inputs}).drop(*kept)
 
 
 def predict_condition(
     count_model: PipelineModel, condition_model: PipelineModel, requests: DataFrame
 ) -> DataFrame:
-    """Predicted count, then the condition predicted from it, in one plan."""
+    """Predicted count, then the condition predicted from it, in one plan. Both are null
+    for a row without hour or date."""
     counted = predict_count(count_model, requests.drop("v", "condition"))
     chained = counted.withColumn("v", F.col("predicted_v").cast("double"))
-    return condition_model.transform(chained).drop("v", *_STAGE_COLUMNS)
+    return (
+        _scored(condition_model, chained, ["hour", "dow", "v"])
+        .withColumn("predicted_condition", F.when(F.col("_scorable"), F.col("predicted_condition")))
+        .drop("v", "_scorable", *_STAGE_COLUMNS)
+    )
 
 
 def prediction_text(predictions: DataFrame) -> DataFrame:

@@ -47,9 +47,10 @@ def normalise(
     """Project raw rows to the contract, repairing what can be repaired.
 
     ``null_v="zero"`` counts a missing number as 0, ``"keep"`` leaves it null.
-    Text that is no whole number is null either way, so ``quarantine`` can show
-    it. Without a ``seq`` column the row's position in the scan is taken; for a
-    single file that is file order.
+    Text that is no number is null either way, so ``quarantine`` can show it.
+    Without a ``seq`` column the row's position in the scan is taken; for a single
+    file that is file order. A stream has no such position and needs the column,
+    which ``read_stream`` gives to files that lack it.
     """
     if null_v not in ("zero", "keep"):
         raise ValueError("null_v is 'zero' or 'keep'")
@@ -58,6 +59,8 @@ def normalise(
         for role, names in SPELLINGS.items()
     }
     types = dict(df.dtypes)
+    if df.isStreaming and not found["seq"]:
+        raise ValueError("a stream needs a seq column")
 
     def raw(role: str) -> Column | None:
         return F.col(f"`{found[role]}`") if found[role] else None
@@ -65,7 +68,7 @@ def normalise(
     def number(role: str) -> Column:
         if found[role] is None:
             return F.lit(0)
-        parsed = whole_number(raw(role))
+        parsed = whole_number(raw(role), types[found[role]])
         return F.when(raw(role).isNull(), 0).otherwise(parsed) if null_v == "zero" else parsed
 
     parts: dict[str, Column] = {}

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placecount import jobs
 from placecount.operators import aggregates as agg
@@ -19,9 +20,9 @@ from placecount.operators import latest as last
 from placecount.operators.normalise import normalise
 from placecount.plans import tables
 from placecount.plans.tables import events, lineitem, orders
-from placecount.roles import DATA_COLUMNS
+from placecount.roles import DATA_COLUMNS, OBS_SCHEMA
 from placecount.session import shared_dir
-from placecount.sources import export, land, load_report, read_obs
+from placecount.sources import export, land, load_report, read_obs, read_stream
 from placecount.sources.report import load_counts
 from placecount.streaming import live
 
@@ -42,6 +43,67 @@ def _raw_files(spark: SparkSession, sf_dir: str, null_v: str = "zero") -> DataFr
     return normalise(read_obs(spark, path), null_v=null_v)
 
 
+def _raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same traffic files as a stream, told apart by their header."""
+    files = tables.events_as_files(spark, sf_dir)
+    path = shared_dir(spark)
+    export(files, path, fmt="csv", partition_by=None)
+    text = T.StructType([T.StructField(name, T.StringType()) for name in files.columns])
+    return normalise(read_stream(spark, path, text, fmt="csv"), null_v="keep")
+
+
+def _decimal_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as files whose numbers carry a decimal point, dates of signups unreadable
+    and incidents of user 12 no number."""
+    path = shared_dir(spark)
+    kind = F.col("condition")
+    rows = events(spark, sf_dir).select(
+        F.when(kind == "signup", F.date_format("obs_date", "yyyy-MM-dd 00:00:00"))
+        .otherwise(F.col("obs_date").cast("string"))
+        .alias("Date"),
+        F.col("slot").alias("Time"),
+        F.col("place").alias("Junction"),
+        F.concat(F.col("v").cast("string"), F.lit(".0")).alias("Vehicles"),
+        F.when(F.col("place") == "12", "some")
+        .otherwise(F.concat(F.col("incidents").cast("string"), F.lit(".0")))
+        .alias("Accidents Reported"),
+        kind.alias("Road Condition"),
+        "seq",
+    )
+    export(rows, path, fmt="csv", partition_by=None)
+    return normalise(read_obs(spark, path), null_v="keep")
+
+
+def _sparse_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as files without time, condition, accidents and weather, under names in
+    other letter case; the default hour and condition stand in."""
+    path = shared_dir(spark)
+    rows = events(spark, sf_dir).select(
+        F.col("obs_date").cast("string").alias("DATE"),
+        F.when(F.col("hour") != 3, F.col("place")).alias("junction"),
+        F.col("v").alias("VEHICLES"),
+        "seq",
+    )
+    export(rows, path, fmt="csv", partition_by=None)
+    return normalise(read_obs(spark, path), drop_null_place=True)
+
+
+def _fixed_schema_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as files read under the fixed schema."""
+    path = shared_dir(spark)
+    rows = events(spark, sf_dir).select(
+        F.col("obs_date").cast("string").alias("Date"),
+        F.col("slot").alias("Time"),
+        F.col("place").alias("Junction"),
+        F.col("v").alias("Vehicles"),
+        F.col("incidents").alias("Accidents Reported"),
+        F.col("weather").alias("Weather"),
+        F.col("condition").alias("Road Condition"),
+    )
+    export(rows, path, fmt="csv", partition_by=None)
+    return normalise(read_obs(spark, path, schema=OBS_SCHEMA))
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
     land(events(spark, sf_dir), path)
@@ -93,11 +155,6 @@ def _latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.latest(orders(spark, sf_dir))
 
 
-def _place_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = events(spark, sf_dir)
-    return models.index_labels(obs, "place").transform(listing.places(obs))
-
-
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each observed place and hour, asked for one week after the event."""
     return events(spark, sf_dir).select(
@@ -136,6 +193,14 @@ def queries() -> dict[str, Query]:
         "raw_files_quarantine": lambda s, d: filters.quarantine(
             _raw_files(s, d, "keep"), need_slot=True
         ).select("seq", "place", "v", "reason"),
+        "raw_files_decimals": lambda s, d: agg.report(_decimal_files(s, d)),
+        "raw_files_decimals_quarantine": lambda s, d: filters.quarantine(
+            _decimal_files(s, d), need_slot=True
+        ).select("seq", "place", "v", "incidents", "reason"),
+        "raw_files_defaults": lambda s, d: _sparse_files(s, d).select(
+            "obs_date", "place", "slot", "hour", "v", "incidents", "condition", "dow", "seq"
+        ),
+        "raw_files_fixed_schema": lambda s, d: _fixed_schema_files(s, d).select(*DATA_COLUMNS),
         "raw_files_latest": lambda s, d: last.latest(_raw_files(s, d, "keep")),
         "raw_files_histogram": lambda s, d: dist.histogram(last.latest(_raw_files(s, d, "keep"))),
         "raw_files_trend": lambda s, d: slots.trend(_raw_files(s, d, "keep")),
@@ -156,6 +221,8 @@ def queries() -> dict[str, Query]:
         "count_by_place": lambda s, d: agg.count_by(events(s, d), "place"),
         "count_by_weather": lambda s, d: agg.count_by(events(s, d), "weather"),
         "avg_by_condition": lambda s, d: agg.avg_by_condition(events(s, d)),
+        "count_by_weather_lineitem": lambda s, d: agg.count_by(lineitem(s, d), "weather"),
+        "avg_by_condition_lineitem": lambda s, d: agg.avg_by_condition(lineitem(s, d)),
         "bands": lambda s, d: agg.band_totals(events(s, d)),
         "daily": lambda s, d: agg.daily(events(s, d)),
         "daily_of_place": lambda s, d: agg.daily(events(s, d), PLACE, FROM, TO, NIGHT),
@@ -200,15 +267,19 @@ def queries() -> dict[str, Query]:
         "condition_trend": lambda s, d: rollups.condition_trend(events(s, d)),
         "heatmap": lambda s, d: rollups.heatmap(events(s, d), HOURS),
         # Models
-        "place_index": _place_index,
+        "place_index": lambda s, d: dist.index_of_places(events(s, d)),
         "predicted_counts": _predicted_counts,
         "predictions": _predictions,
         "prediction_text": lambda s, d: models.prediction_text(_predictions(s, d)),
         "reloaded_predictions": _reloaded_predictions,
         # Streams
-        "stream_daily": lambda s, d: live.run_available(
-            live.windowed_totals(tables.events_stream(s, d))
+        "stream_daily": lambda s, d: live.run_totals(tables.events_stream(s, d)).select(
+            "place", "obs_date", "total_v", "n"
+        ),
+        "raw_stream_daily": lambda s, d: live.run_totals(
+            live.with_event_time(_raw_stream(s, d))
         ).select("place", "obs_date", "total_v", "n"),
+        "raw_stream_latest": lambda s, d: live.run_latest(_raw_stream(s, d)),
         "stream_latest": lambda s, d: live.run_latest(tables.events_stream(s, d)),
         "stream_scores": _stream_scores,
     }

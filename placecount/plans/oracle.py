@@ -40,6 +40,7 @@ obs AS (
          lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') AS slot,
          CAST(floor(l_quantity) AS INTEGER) AS v,
          CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS incidents,
+         l_returnflag AS condition, l_linestatus AS weather,
          l_orderkey, l_linenumber, l_partkey
   FROM lineitem)"""
 
@@ -95,6 +96,8 @@ _FIGURES = """CAST(count(v) AS BIGINT) AS n, CAST(sum(v) AS BIGINT) AS total_v,
 _TOTAL = "CAST(sum(v) AS BIGINT) AS total_v"
 _N = "CAST(count(*) AS BIGINT) AS n"
 _DAILY = f"SELECT place, obs_date, {_TOTAL} FROM obs"
+_DAILY_N = f"""SELECT place, obs_date, {_TOTAL}, CAST(count(v) AS BIGINT) AS n
+FROM obs GROUP BY place, obs_date"""
 _DATA = "obs_date, place, slot, hour, v, incidents, condition, weather, dow"
 
 
@@ -196,6 +199,47 @@ SELECT figures.place,
        || ' vehicles' AS peak
 FROM figures JOIN peaks ON figures.place = peaks.place"""
 
+# Ridge regression of the count in closed form. The places' dummies are solved for first:
+# each is a shrunk mean of what hour and weekday leave of its place. That leaves three
+# unknowns, the intercept and two slopes, here by Cramer's rule. The penalty of 0.1 is in
+# units of the deviations of count and input.
+_COUNT_MODEL = """,
+whole AS (
+  SELECT CAST(count(*) AS DOUBLE) AS n, stddev_pop(v) AS sd, avg(v) AS my,
+         var_pop(hour) AS vh, var_pop(dow) AS vd FROM obs),
+by_place AS (
+  SELECT place, CAST(count(*) AS DOUBLE) AS np, avg(v) AS y, avg(CAST(hour AS DOUBLE)) AS h,
+         avg(CAST(dow AS DOUBLE)) AS d FROM obs GROUP BY place),
+shrunk AS (
+  SELECT by_place.*, 1 / (1 + 0.1 / sd * (1 - np / n)) AS s FROM by_place, whole),
+raw AS (
+  SELECT sum(CAST(hour AS DOUBLE)) AS h, sum(CAST(dow AS DOUBLE)) AS d, sum(CAST(v AS DOUBLE)) AS y,
+         sum(CAST(hour * hour AS DOUBLE)) AS hh, sum(CAST(hour * dow AS DOUBLE)) AS hd,
+         sum(CAST(dow * dow AS DOUBLE)) AS dd, sum(CAST(hour AS DOUBLE) * v) AS hy,
+         sum(CAST(dow AS DOUBLE) * v) AS dy FROM obs),
+m AS (
+  SELECT max(n) - sum(s * np) AS a11, max(raw.h) - sum(s * np * shrunk.h) AS a12,
+         max(raw.d) - sum(s * np * shrunk.d) AS a13,
+         max(hh) - sum(s * np * shrunk.h * shrunk.h) + max(n * 0.1 / sd * vh) AS a22,
+         max(hd) - sum(s * np * shrunk.h * shrunk.d) AS a23,
+         max(dd) - sum(s * np * shrunk.d * shrunk.d) + max(n * 0.1 / sd * vd) AS a33,
+         max(raw.y) - sum(s * np * shrunk.y) AS b1, max(hy) - sum(s * np * shrunk.h * shrunk.y) AS b2,
+         max(dy) - sum(s * np * shrunk.d * shrunk.y) AS b3
+  FROM shrunk, raw, whole),
+det AS (
+  SELECT *, a11 * (a22 * a33 - a23 * a23) - a12 * (a12 * a33 - a23 * a13)
+            + a13 * (a12 * a23 - a22 * a13) AS det FROM m),
+w AS (
+  SELECT (b1 * (a22 * a33 - a23 * a23) - a12 * (b2 * a33 - a23 * b3) + a13 * (b2 * a23 - a22 * b3)) / det AS w0,
+         (a11 * (b2 * a33 - a23 * b3) - b1 * (a12 * a33 - a23 * a13) + a13 * (a12 * b3 - b2 * a13)) / det AS wh,
+         (a11 * (a22 * b3 - b2 * a23) - a12 * (a12 * b3 - b2 * a13) + b1 * (a12 * a23 - a22 * a13)) / det AS wd
+  FROM det),
+asked AS (SELECT DISTINCT place, obs_date + 7 AS obs_date, hour, dow FROM obs)
+SELECT asked.place, CAST(asked.obs_date AS DATE) AS obs_date, asked.hour, asked.dow,
+       CAST(floor(w0 + wh * asked.hour + wd * asked.dow + s * (y - w0 - wh * h - wd * d) + 0.5) AS BIGINT)
+         AS predicted_v
+FROM asked JOIN shrunk ON asked.place = shrunk.place, w"""
+
 _NULL = "CAST(NULL AS DOUBLE)"
 _SUMMARY = f"""{_with(_EVENTS)}
 SELECT 'by_place' AS summary, place AS label, {_N}, {_NULL} AS avg_v, {_NULL} AS avg_incidents
@@ -221,6 +265,18 @@ SELECT obs_date, place, slot, hour,
 SELECT seq, place, v,
        CASE WHEN place IS NULL THEN 'no place' ELSE 'no whole-number count' END AS reason
 FROM obs WHERE place IS NULL OR v IS NULL""",
+        "raw_files_decimals": f"""{ev}
+SELECT place, CAST(count(v) AS BIGINT) AS n, {_TOTAL}, avg(v) AS avg_v, max(v) AS max_v, min(v) AS min_v,
+       CAST(sum(CASE WHEN place <> '12' THEN incidents END) AS BIGINT) AS total_incidents
+FROM obs GROUP BY place""",
+        "raw_files_decimals_quarantine": f"""{ev}
+SELECT seq, place, v, CASE WHEN place <> '12' THEN incidents END AS incidents,
+       CASE WHEN condition = 'signup' THEN 'no date' ELSE 'unreadable incidents' END AS reason
+FROM obs WHERE condition = 'signup' OR place = '12'""",
+        "raw_files_defaults": f"""{ev}
+SELECT obs_date, place, CAST(NULL AS VARCHAR) AS slot, 12 AS hour, v, 0 AS incidents,
+       'Normal' AS condition, dow, seq FROM obs WHERE hour <> 3""",
+        "raw_files_fixed_schema": f"{ev} SELECT {_DATA} FROM obs",
         "raw_files_latest": f"{_L1_RAW} SELECT place, v FROM latest",
         "raw_files_histogram": f"{_L1_RAW}{_HISTOGRAM}",
         "raw_files_trend": f"{_L2_RAW}{_TREND}",
@@ -243,6 +299,10 @@ ORDER BY v DESC, obs_date, slot, seq LIMIT 1""",
         "count_by_place": f"{ev} SELECT place, {_N} FROM obs GROUP BY place",
         "count_by_weather": f"{ev} SELECT weather, {_N} FROM obs GROUP BY weather",
         "avg_by_condition": f"""{ev}
+SELECT condition, avg(v) AS avg_v, avg(incidents) AS avg_incidents FROM obs GROUP BY condition""",
+        "count_by_weather_lineitem": f"""{li}
+SELECT weather, {_N} FROM obs GROUP BY weather""",
+        "avg_by_condition_lineitem": f"""{li}
 SELECT condition, avg(v) AS avg_v, avg(incidents) AS avg_incidents FROM obs GROUP BY condition""",
         "bands": f"""{ev}
 SELECT place, {_BAND} AS band, {_N}, {_TOTAL} FROM obs GROUP BY place, {_BAND}""",
@@ -309,9 +369,9 @@ SELECT obs_date, condition, {_N} FROM obs GROUP BY obs_date, condition""",
         "place_index": f"""{ev}
 SELECT place, CAST(row_number() OVER (ORDER BY count(*) DESC, place) - 1 AS DOUBLE) AS place_index
 FROM obs GROUP BY place""",
-        "stream_daily": f"""{ev}
-SELECT place, obs_date, {_TOTAL}, CAST(count(v) AS BIGINT) AS n FROM obs
-WHERE obs_date + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
-GROUP BY place, obs_date""",
+        "stream_daily": f"{ev} {_DAILY_N}",
+        "raw_stream_daily": f"{raw} {_DAILY_N}",
+        "raw_stream_latest": f"{_L1_RAW} SELECT place, v FROM latest",
+        "predicted_counts": f"{ev}{_COUNT_MODEL}",
         "stream_latest": f"{_L1} SELECT place, v FROM latest",
     }

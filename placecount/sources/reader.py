@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placecount.operators.filters import resolve
@@ -52,10 +53,17 @@ def read_stream(
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """The same files as a stream; each new file becomes part of a micro-batch."""
+    """The same files as a stream; each new file becomes part of a micro-batch.
+
+    A CSV file whose header contradicts the schema stops the stream. Without a ``seq``
+    column the time at which a file was written is the sequence of its rows.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    stream = reader.load(path)
+    if resolve(schema.names, "seq"):
+        return stream
+    return stream.withColumn("seq", F.unix_micros("_metadata.file_modification_time"))

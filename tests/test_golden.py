@@ -24,9 +24,12 @@ def test_counts_by_place_and_weather(small, rows):
     }
 
 
-def test_means_by_condition(small, rows):
+def test_means_by_condition(spark, small_csv, small, rows):
     want = [("Congested", 250.0, 0.5), ("Damaged", 75.0, 2.0), ("Smooth", 62.5, 0.0)]
-    assert rows(aggregates.avg_by_condition(small), ordered=True) == want
+    zero = normalise(read_obs(spark, small_csv))
+    assert rows(aggregates.avg_by_condition(zero), ordered=True) == want
+    # Kept as null, a missing count is in no mean.
+    assert rows(aggregates.avg_by_condition(small))[2][1] == pytest.approx(625 / 9)
 
 
 def test_summary_leaves_out_unknown_weather(small):

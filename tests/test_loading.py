@@ -110,8 +110,8 @@ def test_counts_missing_or_text(load):
     )
     zero = [r.v for r in normalise(load(text)).collect()]
     keep = [r.v for r in normalise(load(text), null_v="keep").collect()]
-    assert zero == [0, None, None, 7, None, -4]
-    assert keep == [None, None, None, 7, None, -4]
+    assert zero == [0, None, 12, 7, None, -4]
+    assert keep == [None, None, 12, 7, None, -4]
     with pytest.raises(ValueError):
         normalise(load(text), null_v="drop")
 
@@ -142,6 +142,27 @@ def test_rows_without_place(load):
     assert normalise(load(text), drop_null_place=True).isEmpty()
 
 
+def test_text_and_numeric_columns_agree(load, spark):
+    text = "Date,Time,Junction,Vehicles,Accidents Reported\n2025-04-01,08:00,A,100.0,1.0\n"
+    row = only(normalise(load(text)))
+    assert (row.v, row.incidents) == (100, 1)
+
+
+def test_unreadable_numbers_are_in_no_mean(load):
+    text = "Date,Time,Junction,Vehicles\n2025-04-01,08:00,A,10\n2025-04-01,08:00,A,many\n"
+    means = aggregates.avg_by_condition(normalise(load(text)))
+    assert only(means).avg_v == 10.0
+
+
+def test_dates_and_incidents_have_reasons(load):
+    text = (
+        "Date,Time,Junction,Vehicles,Accidents Reported\n"
+        "2025-04-01 00:00:00,08:00,A,3,0\n2025-04-01,08:00,A,3,few\n2025-04-01,08:00,A,3,0\n"
+    )
+    reasons = [r.reason for r in filters.quarantine(normalise(load(text)), need_slot=True).collect()]
+    assert sorted(reasons) == ["no date", "unreadable incidents"]
+
+
 def test_rejected_rows_have_reasons(load):
     text = "Date,Time,Junction,Vehicles\n2025-04-01,,A,3\n2025-04-01,08:00,,3\n"
     df = normalise(load(text))

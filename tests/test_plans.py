@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_DIR
 from placecount.operators import aggregates, distribution, filters, latest, listing, slots
+from placecount.plans import tables
 from placecount.plans.tables import events
 
 
@@ -26,6 +27,7 @@ def plan(spark):
         lambda o: latest.latest(o, F.col("seq")),
         aggregates.report,
         lambda o: o.groupBy("place").agg(F.sum("v")),
+        lambda o: latest.latest(tables.lineitem_keyed(o.sparkSession, SF_DIR), tables.lineitem_order()),
     ],
 )
 def test_hash_aggregates_with_map_side_combine(spark, plan, build):
@@ -41,7 +43,6 @@ def test_no_python_and_no_cross_join(spark, plan):
         aggregates.report_with_peak(obs),
         distribution.histogram(counts),
         distribution.quartile_shares(counts),
-        distribution.points(counts),
         slots.trend(obs),
         slots.slot_profile(obs, relative=True),
         slots.compare(obs, "1", "2"),
@@ -62,7 +63,7 @@ def test_peak_is_a_top_k(spark, plan):
 
 
 @pytest.mark.parametrize(
-    "build", [distribution.histogram, distribution.quartiles, distribution.points]
+    "build", [distribution.histogram, distribution.quartiles]
 )
 def test_latest_counts_are_computed_once(spark, plan, build):
     """The subqueries read the shuffle of the main query, not the table again."""

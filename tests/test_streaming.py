@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
@@ -42,6 +43,45 @@ def test_windows_are_utc_days_in_any_zone(spark, rows):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_all_days_equal_batch(spark, rows):
+    """Open windows are there as well."""
+    got = live.run_totals(events_stream(spark, SF_DIR)).select("place", "obs_date", "total_v")
+    assert rows(got) == rows(aggregates.daily(events(spark, SF_DIR)))
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "run")
+    every = events(spark, SF_DIR)
+    every.filter("obs_date >= '2024-01-15'").write.parquet(str(source))
+
+    def drain():
+        stream = live.with_event_time(spark.readStream.schema(every.schema).parquet(str(source)))
+        return live.run_updates(live.windowed_totals(stream), ["place", "start"], root)
+
+    assert drain().late_rows == 0
+    early = every.filter("obs_date < '2024-01-15'")
+    early.write.mode("append").parquet(str(source))
+    assert drain().late_rows > 0
+
+
+def test_csv_streams_check_their_header(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    from placecount.operators.normalise import normalise
+    from placecount.roles import OBS_SCHEMA
+    from placecount.sources import read_stream
+
+    header = "Date,Time,Junction,Vehicles,Accidents Reported,Weather,Road Condition\n"
+    for name, first in (("good", header), ("bad", header.replace("Date,Time", "Time,Date"))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.csv").write_text(first + "2025-04-01,08:30,A,3,0,Sunny,Smooth\n")
+    good = normalise(read_stream(spark, str(tmp_path / "good"), OBS_SCHEMA, fmt="csv"))
+    assert [tuple(r) for r in live.run_latest(good).collect()] == [("A", 3)]
+    bad = normalise(read_stream(spark, str(tmp_path / "bad"), OBS_SCHEMA, fmt="csv"))
+    with pytest.raises(StreamingQueryException):
+        live.run_latest(bad)
+
+
 def test_latest_equals_batch(spark, rows):
     got = live.run_latest(events_stream(spark, SF_DIR))
     assert rows(got) == rows(latest.latest(events(spark, SF_DIR)))
