@@ -36,20 +36,28 @@ TODAY = "2024-02-10"
 HOURS = [f"{h:02d}:00" for h in range(24)]
 
 
+_written: dict[tuple[str, str], str] = {}
+
+
+def _raw_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Events as traffic files in the shared folder, written once for each application."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _written:
+        path = shared_dir(spark)
+        export(tables.events_as_files(spark, sf_dir), path, fmt="csv", partition_by=None)
+        _written[key] = path
+    return _written[key]
+
+
 def _raw_files(spark: SparkSession, sf_dir: str, null_v: str = "zero") -> DataFrame:
-    """Events written as traffic files in the shared folder, then loaded from there."""
-    path = shared_dir(spark)
-    export(tables.events_as_files(spark, sf_dir), path, fmt="csv", partition_by=None)
-    return normalise(read_obs(spark, path), null_v=null_v)
+    return normalise(read_obs(spark, _raw_folder(spark, sf_dir)), null_v=null_v)
 
 
 def _raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same traffic files as a stream, told apart by their header."""
-    files = tables.events_as_files(spark, sf_dir)
-    path = shared_dir(spark)
-    export(files, path, fmt="csv", partition_by=None)
-    text = T.StructType([T.StructField(name, T.StringType()) for name in files.columns])
-    return normalise(read_stream(spark, path, text, fmt="csv"), null_v="keep")
+    names = tables.events_as_files(spark, sf_dir).columns
+    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return normalise(read_stream(spark, _raw_folder(spark, sf_dir), text, fmt="csv"), null_v="keep")
 
 
 def _decimal_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,6 +185,18 @@ def _reloaded_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.Predictor.load(root, "v1").predict(_requests(spark, sf_dir))
 
 
+def _count_part(scored: DataFrame) -> DataFrame:
+    """What scoring says of the count, without the condition predicted from it."""
+    return scored.select("place", "obs_date", "hour", "dow", "predicted_v")
+
+
+def _count_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction texts up to the condition."""
+    texts_ = models.prediction_text(_predictions(spark, sf_dir))
+    upto = F.substring_index("text", "Predicted Road Condition", 1)
+    return texts_.select("place", "obs_date", "hour", upto.alias("text"))
+
+
 def _stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictor = models.train(events(spark, sf_dir))
     stream = tables.events_stream(spark, sf_dir).select("place", "obs_date", "hour", "seq")
@@ -271,6 +291,10 @@ def queries() -> dict[str, Query]:
         "predicted_counts": _predicted_counts,
         "predictions": _predictions,
         "prediction_text": lambda s, d: models.prediction_text(_predictions(s, d)),
+        "prediction_text_count": _count_text,
+        "predictions_count": lambda s, d: _count_part(_predictions(s, d)),
+        "reloaded_predictions_count": lambda s, d: _count_part(_reloaded_predictions(s, d)),
+        "stream_scores_count": lambda s, d: _count_part(_stream_scores(s, d)),
         "reloaded_predictions": _reloaded_predictions,
         # Streams
         "stream_daily": lambda s, d: live.run_totals(tables.events_stream(s, d)).select(

@@ -234,11 +234,17 @@ w AS (
          (a11 * (b2 * a33 - a23 * b3) - b1 * (a12 * a33 - a23 * a13) + a13 * (a12 * b3 - b2 * a13)) / det AS wh,
          (a11 * (a22 * b3 - b2 * a23) - a12 * (a12 * b3 - b2 * a13) + b1 * (a12 * a23 - a22 * a13)) / det AS wd
   FROM det),
-asked AS (SELECT DISTINCT place, obs_date + 7 AS obs_date, hour, dow FROM obs)
+asked AS (SELECT DISTINCT place, obs_date + 7 AS obs_date, hour, dow FROM obs),
+arriving AS (SELECT place, obs_date, hour, dow FROM obs)"""
+
+
+def _predicted(requests: str) -> str:
+    return f"""
 SELECT asked.place, CAST(asked.obs_date AS DATE) AS obs_date, asked.hour, asked.dow,
        CAST(floor(w0 + wh * asked.hour + wd * asked.dow + s * (y - w0 - wh * h - wd * d) + 0.5) AS BIGINT)
          AS predicted_v
-FROM asked JOIN shrunk ON asked.place = shrunk.place, w"""
+FROM {requests} asked JOIN shrunk ON asked.place = shrunk.place, w"""
+
 
 _NULL = "CAST(NULL AS DOUBLE)"
 _SUMMARY = f"""{_with(_EVENTS)}
@@ -253,6 +259,7 @@ FROM obs GROUP BY condition"""
 
 def oracle_sql() -> dict[str, str]:
     ev, raw, li = _with(_EVENTS), _with(_RAW), _with(_LINEITEM)
+    counts = f"{ev}{_COUNT_MODEL} {_predicted('asked')}"
     hot = f"{_with(_EVENTS.replace('obs AS', 'every AS'))}"
     night = f"{hot}, obs AS (SELECT * FROM every WHERE {_selected(NIGHT)})"
     return {
@@ -372,6 +379,14 @@ FROM obs GROUP BY place""",
         "stream_daily": f"{ev} {_DAILY_N}",
         "raw_stream_daily": f"{raw} {_DAILY_N}",
         "raw_stream_latest": f"{_L1_RAW} SELECT place, v FROM latest",
-        "predicted_counts": f"{ev}{_COUNT_MODEL}",
+        "predicted_counts": counts,
+        "predictions_count": counts,
+        "reloaded_predictions_count": counts,
+        "stream_scores_count": f"{ev}{_COUNT_MODEL} {_predicted('arriving')}",
+        "prediction_text_count": f"""{ev}{_COUNT_MODEL}, scored AS ({_predicted('asked')})
+SELECT place, obs_date, hour,
+       'Prediction Results:' || chr(10) || chr(10) || 'Junction: ' || place || chr(10)
+       || 'Date: ' || obs_date || chr(10) || 'Hour: ' || hour || ':00' || chr(10) || chr(10)
+       || 'Predicted Vehicle Count: ' || predicted_v || chr(10) AS text FROM scored""",
         "stream_latest": f"{_L1} SELECT place, v FROM latest",
     }

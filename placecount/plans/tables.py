@@ -81,8 +81,8 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events files as a stream, with the event time the windows use."""
     schema = table(spark, sf_dir, "events").schema
-    # A glob, as a file stream takes no single file: the table may be one or a folder.
-    raw = read_stream(spark, f"{sf_dir}/events.parquet*", schema)
+    # A glob that fits this name only, as a file stream takes no plain single file.
+    raw = read_stream(spark, f"{sf_dir}/event[s].parquet", schema)
     return conform(raw.withColumn("event_time", utc_instant(F.col("ts"))), EVENTS, keep=("event_time",))
 
 

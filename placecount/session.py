@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import sys
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,17 +29,27 @@ def session(app: str = "placecount", **overrides: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    """One temporary folder for this process, removed at its end."""
+    root = tempfile.mkdtemp(prefix="placecount-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    print(f"spark.checkpoint.dir is not set; intermediate tables go to {root}", file=sys.stderr)
+    return root
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
+    """A new folder below ``spark.checkpoint.dir``, left to that folder's clean-up.
 
-    Only a local-mode session without that setting falls back to a temporary
-    folder; on a cluster a machine-local path would be lost with its machine.
+    Only a local-mode session without that setting falls back to a temporary folder,
+    which it names once and removes at its end; on a cluster a machine-local path
+    would be lost with its machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="placecount-")
+        root = _local_root()
     return f"{root.rstrip('/')}/placecount-{uuid.uuid4().hex}"
 
 
