@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from placecount.llm.components import components
-from placecount.llm.text import blocks, lower_ascii, mix, shingle_sets, spans_hash, utf8, words
+from placecount.llm.text import blocks, lower_ascii, mix, shingle_sets, spans_hash, spare, utf8, words
 from placecount.session import durable
 
 SHINGLE_WORDS = 4
@@ -312,6 +312,7 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each class: the one whose id names it. Rows that
     share an id are one document, and those without an id stay."""
     classes = durable(link_classes(docs, k, percent))
-    others = durable(classes.where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct())
+    id_ = spare(docs.columns, "id")
+    others = durable(classes.where("doc_id != component_id").select(F.col("doc_id").alias(id_)).distinct())
     few = others.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(others) if few else others, F.col("doc_id") == F.col("_id"), "left_anti")
+    return docs.join(F.broadcast(others) if few else others, F.col("doc_id") == F.col(id_), "left_anti")

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from placecount.llm.text import spare
 from placecount.session import durable
 
 BUCKETS = 1024
@@ -81,18 +82,17 @@ def _choice() -> Column:
 
 
 def mix(sized: DataFrame, cycle: tuple[int, ...] = CYCLE, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """Adds source_size, target, repeats and taken to rows with doc_id, source, size
-    and weight (a document's quality, above 0; null is 1).
+    """(doc_id, source, size, weight, source_size, target, repeats, taken) of rows with
+    doc_id, source, size and weight (a document's quality; null or not above 0 is 1).
 
     Whole documents only: the document at the edge is taken if that brings the
     source nearer to its target. Rows equal in key, id and size go together. Null
     sources are a source; null ids draw the key of an empty id; documents of size 0
-    take nothing. Columns of the input that clash with the added ones are replaced.
+    take nothing. Other columns are left out.
     """
     weight = F.coalesce(F.when(F.col("weight") > 0, F.col("weight")), F.lit(1.0))
     key = -F.log(uniform(F.col("doc_id"), seed)) / weight
-    added = ("source_size", "target", "repeats", "taken", "key", "bucket", "epochs", "rest", "cut", "edge")
-    keyed = sized.drop(*added).withColumn("key", key).withColumn(
+    keyed = sized.select("doc_id", "source", "size", "weight").withColumn("key", key).withColumn(
         "bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
     )
     sums = durable(keyed.groupBy("source", "bucket").agg(F.sum("size").alias("size")))
@@ -143,19 +143,22 @@ def mix(sized: DataFrame, cycle: tuple[int, ...] = CYCLE, max_epochs: int = MAX_
 
 
 def quality_weights(docs: DataFrame, labels: DataFrame, good: float = 2.0, poor: float = 0.5) -> DataFrame:
-    """Adds ``weight`` from ``labels`` (doc_id, quality): ``good`` for 1, ``poor`` for
-    0, and 1 for documents without a label. The best label of an id counts."""
+    """(doc_id, source, size, weight) of rows with the first three. The weight comes from
+    ``labels`` (doc_id, quality): ``good`` for 1, ``poor`` for 0, and 1 for documents
+    without a label. The best label of an id counts."""
+    docs = docs.select("doc_id", "source", "size")
     best = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_quality"))
     weight = F.when(F.col("_quality") == 1, good).when(F.col("_quality") == 0, poor).otherwise(1.0)
     return docs.join(best, docs["doc_id"] == best["_id"], "left").withColumn("weight", weight).drop("_id", "_quality")
 
 
 def repeat_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """Each document as many times as the mix takes it. ``mixed`` has one row per id."""
-    times = mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.max("repeats").alias("_times"))
+    """Each document as many times as the mix takes it. Rows of ``mixed`` (doc_id,
+    repeats) that share an id count as one, with the most repeats."""
+    id_, times, copy = (spare(docs.columns, name) for name in ("id", "times", "copy"))
+    taken = mixed.groupBy(F.col("doc_id").alias(id_)).agg(F.max("repeats").alias(times)).where(F.col(times) > 0)
     return (
-        docs.join(times, docs["doc_id"].eqNullSafe(times["_id"]))
-        .where("_times > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .drop("_id", "_times", "_copy")
+        docs.join(taken, F.col("doc_id").eqNullSafe(F.col(id_)))
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+        .drop(id_, times, copy)
     )

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placecount.llm.text import spare
 from placecount.session import durable
 
 # Patterns of the base kinds, in their listed order.
@@ -156,13 +157,15 @@ def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
 
 def mask_live(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
     """``docs`` with the live-looking secrets of each text masked and n_chars renewed."""
+    id_, hash_, spans = (spare(docs.columns, name) for name in ("id", "hash", "live"))
     live = scan(docs, owner, repo).where(F.size("live") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "live"
-    ).dropDuplicates(["_id", "_hash"])
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
-    joined = docs.join(live, same, "left")
-    text = F.when(F.col("live").isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col("live")))
-    out = joined.withColumn("text", text)
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("live").alias(spans)
+    ).dropDuplicates([id_, hash_])
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(hash_))
+    clean = F.col(spans).isNull()
+    out = docs.join(live, same, "left").withColumn(
+        "text", F.when(clean, F.col("text")).otherwise(masked(F.col("text"), F.col(spans)))
+    )
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("live").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        out = out.withColumn("n_chars", F.when(clean, F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return out.select(*docs.columns)

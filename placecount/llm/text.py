@@ -160,12 +160,9 @@ def text_shingles(column: pa.Array, k: int, lower: bool) -> list[np.ndarray]:
     return out
 
 
-def in_arrow(work, columns: tuple[str, ...]):
-    """A ``mapInArrow`` function that calls ``work`` with the named columns of a batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from work(*[batch.column(batch.schema.get_field_index(c)) for c in columns])
-
-    return run
+def spare(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores before it as make it none of ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

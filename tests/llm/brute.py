@@ -128,3 +128,81 @@ def unigrams(docs):
         score = sum(log10((counts[t] + 0.5) / (total + 0.5 * (distinct + 1))) for t in tokens)
         out.append((i, fold(i) == 1, len(tokens), sum(counts[t] > 0 for t in tokens), total, score))
     return sorted(out)
+
+
+OWNED = re.compile(r"[A-Za-z0-9+/_-]{20,}", re.A)
+
+
+def candidates(text):
+    """(start, kind, end, value) of base spans and of key-like ones that touch none."""
+    text = text or ""
+    found = []
+    for start, kind, end in base_spans(text):
+        value = ASSIGN.match(text, start)[2] if kind == 0 else text[start:end]
+        found.append((start, kind, end, value))
+    for m in OWNED.finditer(text):
+        free = all(m.end() <= start or end <= m.start() for start, _, end, _ in found)
+        mixed = all(any(c in kind for c in m[0]) for kind in ("0123456789", LOWER, LOWER.upper()))
+        if free and mixed:
+            found.append((m.start(), 3, m.end(), m[0]))
+    return found
+
+
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+
+def live_secrets(docs, min_owners=3, min_repos=8):
+    """docs: (doc_id, owner, text); live spans of each id."""
+    owners, repos = {}, {}
+    for i, owner, text in docs:
+        for *_, value in candidates(text):
+            owners.setdefault(value, set()).add(owner)
+            repos.setdefault(value, set()).add((owner, i))
+    live = {}
+    for i, _, text in docs:
+        for start, kind, end, value in candidates(text):
+            if len(owners[value]) < min_owners and len(repos[value]) < min_repos:
+                live.setdefault(i, []).append((start, kind, end))
+    return {i: sorted(spans) for i, spans in live.items()}
+
+
+def masked(text, spans, mask="[secret]"):
+    limit = len(text)
+    for start, _, end in reversed(spans):
+        text = text[:start] + mask + text[min(end, limit) :]
+        limit = start
+    return text
+
+
+def mixed(docs, quality, cycle=(5, 2, 1), most=3, seed=7):
+    """docs: (doc_id, source, text), quality by id; repeats of each id."""
+    from math import floor, log
+
+    sizes, rows = {}, {}
+    for i, source, text in docs:
+        n = len(words(text))
+        u = (int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        weight = {1: 2.0, 0: 0.5}.get(quality.get(i), 1.0)
+        rows.setdefault(source, []).append((-log(u) / weight, i, n))
+        sizes[source] = sizes.get(source, 0) + n
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: cycle[k % len(cycle)] for k, s in enumerate(order)}
+    target, open_, left = {}, set(order), sum(sizes.values())
+    while True:
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = [s for s in open_ if share[s] >= most * sizes[s]]
+        if not over:
+            break
+        for s in over:
+            target[s] = most * sizes[s]
+            left -= target[s]
+            open_.remove(s)
+    target |= share
+    repeats = {}
+    for s, members in rows.items():
+        epochs = floor(target[s] / sizes[s]) if sizes[s] else 0
+        rest, gone = target[s] - epochs * sizes[s], 0
+        for _, i, n in sorted(members):
+            repeats[i] = (epochs + (gone + n / 2 <= rest)) if n else 0
+            gone += n
+    return repeats

@@ -1,0 +1,277 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import brute
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from placecount.llm import fingerprint, jaccard, mixing, pieces, quality, secret_scan, suffix_tree, toxicity
+from placecount.llm import urlfilter, warc
+from placecount.llm.queries import MODEL_FILE
+
+LONG = " ".join(f"word{i % 977} idiot{i % 13}" for i in range(15_000))
+SECRET = "key: AKIA" + "Q7" * 9 + " and password = hunter2hunter2 \U0001F600 end"
+DOCS = [
+    (1, "", "en", "a", 0),
+    (2, None, None, None, None),
+    (3, LONG, "en", "a", len(LONG)),
+    (4, "the same text twice over and over", "de", "b", 33),
+    (5, "the same text twice over and over", "de", "b", 33),
+    (5, "the same text twice over and over", "de", "b", 33),
+    (None, "a text without any id at all", "fr", None, 28),
+    (7, SECRET, "en", "c", len(SECRET)),
+    (8, " \t\n", "en", "c", 3),
+]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+CLASHES = ("id", "v", "key", "hash", "live", "n", "times", "root", "part", "size", "weight", "toxic", "target", "ids")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    frame = spark.createDataFrame(DOCS, SCHEMA)
+    return frame.withColumns({name: F.lit("clash") for name in CLASHES})
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.where("false")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    rows = [(3, 1, 1), (3, 0, 0), (4, None, 0), (None, 1, 1), (5, 1, None), (99, 1, 1)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def mix(docs, labels):
+    sized = docs.withColumn("size", mixing.word_count(F.col("text")))
+    return mixing.mix(mixing.quality_weights(sized, labels))
+
+
+OPERATORS = {
+    "mix": mix,
+    "toxicity": lambda d, x: toxicity.score(d, toxicity.fit(d, x)),
+    "fingerprints": lambda d, x: fingerprint.fingerprints(d),
+    "edited": lambda d, x: fingerprint.compare_with_edited(d),
+    "classes": lambda d, x: jaccard.link_classes(d),
+    "secrets": lambda d, x: secret_scan.scan(d, F.col("source"), F.col("doc_id")),
+    "mask": lambda d, x: secret_scan.mask_live(d, F.col("source"), F.col("doc_id")),
+    "pieces": lambda d, x: pieces.encode_documents(d, MODEL_FILE, with_ids=True),
+    "quality": lambda d, x: quality.judge(d),
+    "model": lambda d, x: suffix_tree.score(d, F.lit(True)),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_one_row_for_each_document(name, docs, none, labels):
+    assert len(OPERATORS[name](docs, labels).collect()) == len(DOCS)
+    assert OPERATORS[name](none, labels.where("false")).collect() == []
+
+
+def by_id(df, *columns):
+    return {r["doc_id"]: tuple(r[c] for c in columns) for r in df.collect()}
+
+
+def test_mix_of_odd_rows(docs, labels):
+    got = by_id(mix(docs, labels), "size", "taken", "weight")
+    assert got[1][:2] == got[2][:2] == got[8][:2] == (0, 0)
+    assert got[3][2] == 2.0 and got[4][2] == 1.0
+    total = {r.source: (r.source_size, r.target) for r in mix(docs, labels).collect()}
+    assert sum(t for _, t in total.values()) == pytest.approx(sum(s for s, _ in total.values()))
+    assert total["b"] == (21, 63.0)  # at its limit of three times its size
+
+
+def test_untrained_classifier_rejects_nothing(docs, labels):
+    model = toxicity.fit(docs, labels.where("toxic = 0"))
+    assert model.weights == {} and model.score_all([None, "", LONG]).max() < 0.5
+
+
+def test_copies_and_empty_texts(docs):
+    got = by_id(jaccard.link_classes(docs), "n_shingles", "component_id")
+    assert got[4] == got[5] == (4, 4)
+    assert got[1] == (0, 1) and got[2] == (0, 2) and got[8] == (0, 8)
+    assert got[None][0] == 4 and got[None][1] is None
+    kept = [r.doc_id for r in jaccard.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == sorted([1, 2, 3, 4, 7, 8, None], key=str)
+
+
+def test_secrets_past_wide_characters(docs):
+    text = "\U0001F600\U0001F600 " + SECRET
+    frame = docs.sparkSession.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    row = secret_scan.scan(frame, F.col("source"), F.col("doc_id")).first()
+    assert [(s.start, s.kind, s.end) for s in row.base] == brute.base_spans(text)
+    assert secret_scan.mask_live(frame, F.col("source"), F.col("doc_id")).first().text == brute.masked(
+        text, brute.base_spans(text)
+    )
+
+
+def test_widely_copied_secrets_are_examples(spark):
+    rows = [(i, f"password = changeme99 and token: private{i}key", f"owner{i % 4}") for i in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    texts = {r.doc_id: r.text for r in secret_scan.mask_live(frame, F.col("source"), F.col("doc_id")).collect()}
+    assert texts == {i: "password = changeme99 and [secret]" for i in range(9)}
+
+
+def test_short_assignments_still_consume(spark):
+    text = "password=token: abcdefgh"
+    assert brute.base_spans(text) == []
+    row = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), F.lit("o"), F.lit("r")).first()
+    assert row.base == []
+
+
+def test_fingerprints_of_unequal_texts(spark):
+    book = " ".join(f"w{i}" for i in range(20_000))
+    page = " ".join(f"w{i}" for i in range(4_000, 6_000))
+    frame = spark.createDataFrame([(1, book), (2, page)], "doc_id long, text string")
+    prints = {r.doc_id: fingerprint.decode(r.fingerprint) for r in fingerprint.fingerprints(frame).collect()}
+    assert fingerprint.containment(prints[2], prints[1]) > 0.99
+    assert fingerprint.containment(prints[1], prints[2]) == pytest.approx(0.1, abs=0.03)
+    both = fingerprint.merge(prints[1], prints[2])
+    assert np.array_equal(both, np.union1d(prints[1], prints[2]))
+    short = [fingerprint.sketches(pa.array([t]))[0] for t in ("one", "one two", "one")]
+    assert fingerprint.likeness(short[0], short[2]) == 1.0 and fingerprint.likeness(short[0], short[1]) == 0.0
+    assert fingerprint.encode(fingerprint.sketches(pa.array([""]))[0]) == ""
+
+
+def test_next_document_of_one_and_of_repeats(spark):
+    one = spark.createDataFrame([(1, "abcdef")], "doc_id long, text string")
+    assert fingerprint.compare_with_edited(one).first().edited_sha256 == brute.sha256("abcdab")
+
+
+def test_swapping_groups_lowers_false_alarms(spark):
+    """Abuse that names one group must not make the group itself a sign of abuse."""
+    abuse, calm = "you are scum and trash", "what a lovely quiet day"
+    rows = [(i, f"women {abuse} n{i}. about women here.", 1) for i in range(120)]
+    rows += [(1000 + i, f"men {calm} n{i}. about men here.", 0) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    with_penalty = toxicity.fit(frame, frame, penalty=toxicity.PENALTY * 100)
+    without = toxicity.fit(frame, frame, penalty=0.0)
+    neutral = ["women meet here", "women and men meet"]
+    assert (with_penalty.score_all(neutral) < without.score_all(neutral)).all()
+    assert with_penalty.score_all([f"men {abuse}"])[0] > 0.5
+    gap = abs(np.subtract(*with_penalty.score_all(["women meet here", "men meet here"])))
+    assert gap < 0.05
+
+
+def test_warc_of_odd_pages(spark):
+    rows = [
+        (1, "http://a/x y\r\nz", "<p>same</p>", 0),
+        (5, None, "<p>same</p>", 0),
+        (3, "http://a/", None, 0),
+        (4, "", "", 0),
+        (None, "http://b/", "<p>same</p>", 0),
+        (9, "http://long/", "é" * 400_000, 0),
+        (-7, "http://neg/", "negative", 0),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest int")
+    got = {(r.page_id, r.url): r for r in warc.archive_and_read(pages).collect()}
+    assert len(got) == len(rows)
+    assert got[(1, rows[0][1])].refers_to == 5 and got[(5, None)].record_type == "response"
+    assert got[(None, "http://b/")].refers_to == 5
+    assert got[(3, "http://a/")].refers_to == 4 and got[(4, "")].payload_bytes == 0
+    assert got[(9, "http://long/")].payload_bytes == 800_000
+    assert got[(-7, "http://neg/")].record_type == "response"
+    assert warc.archive_and_read(pages.where("false")).collect() == []
+
+
+def test_selected_records_are_read_by_ranges(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", f"page {i} " * 50) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    index = warc.write_archives(pages, f"file://{tmp_path}/warc", archive_bytes=4_000)
+    assert index.select("archive").distinct().count() > 3
+    some = warc.read_records(index.where("url like '%7'"), payload=True).collect()
+    assert {r.page_id: r.payload.decode() for r in some} == {i: t for i, _, t in rows if str(i).endswith("7")}
+    joined = list(warc.joined_ranges(iter([("a", 0, 10), ("a", 10, 5), ("a", 10**6, 5), ("b", 0, 1)])))
+    assert joined == [("a", [(0, 10), (10, 5)]), ("a", [(10**6, 5)]), ("b", [(0, 1)])]
+
+
+def test_cascade_is_exact(spark):
+    keys = spark.range(30_000).select(
+        F.concat(F.lit("host"), F.col("id")).alias("key"), (F.col("id") % 7 == 0).alias("listed")
+    )
+    path, shards = urlfilter.write_cascade(keys, shard_keys=4_000)
+    assert shards == 8
+    hot = spark.range(500).select(F.lit("host14").alias("key"), F.lit(True).alias("listed"))
+    asked = keys.withColumnRenamed("listed", "want").unionAll(hot).unionAll(
+        spark.createDataFrame([(None, False)], "key string, want boolean")
+    )
+    found = urlfilter.listed(asked, "key", path, shards)
+    assert found.where("listed != want").isEmpty() and found.count() == 30_501
+
+
+def test_odd_urls(spark):
+    urls = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.Net/en/x", "x://a.org/fr/?q", "http://h?x://y/", "http://sub.net/a#b"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    keys = urlfilter.hosts_with(pages, ("sub",))
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge(pages, keys).collect()}
+    assert got[0] == got[1] == got[2] == got[3] == ("", "", None, "allow")
+    assert got[4] == ("example.net", "/en/x", "example.net/en/", "allow")
+    assert got[5] == ("a.org", "/fr/", "org/fr/", "allow")
+    assert got[6] == ("h", "", None, "allow")
+    assert got[7] == ("sub.net", "/a", "net/", "block")
+    none = pages.where("false")
+    assert urlfilter.judge(none, urlfilter.hosts_with(none, ("sub",))).collect() == []
+
+
+def test_quality_of_odd_texts(docs):
+    got = by_id(quality.judge(docs), "n_words", "base_failed", "kept", "word_distance")
+    assert got[1] == got[2] == got[8] == (0, True, False, None)
+    assert got[3][0] == 30_000
+
+
+def test_strange_text_fails_its_language(spark):
+    rows = [(i, " ".join(["the", "of", "and", f"word{i}"] * 60), "en") for i in range(300)]
+    # Different words throughout, none of them common, in signs no other text has.
+    rows.append((999, " ".join(f"§{i}§{i * 7}§" for i in range(300)), "en"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = by_id(quality.judge(frame), "class_distance", "word_distance", "base_failed", "kept")
+    assert got[999][0] > quality.MAX_CLASS_DISTANCE and got[999][1] > quality.MAX_WORD_DISTANCE
+    assert got[999][2:] == (False, False)
+    assert quality.js_distance(np.array([[1, 0]]), np.array([0.0, 1.0]))[0] == pytest.approx(1.0)
+
+
+def shares(text, head, tree):
+    """Probability of each token of a text in its state, token by token."""
+    tokens, counts = suffix_tree.token_hashes(pa.array([text]))
+    place = head.find(tokens)
+    follows, one, two = head.contexts(place, counts)
+    p = [(head.counts[i] + 0.5 if i >= 0 else 0.5) / head.scale for i in place]
+    for contexts in (one, two):
+        for i, context in enumerate(contexts):
+            at = np.flatnonzero(tree.contexts == context)
+            if context >= 0 and len(at):
+                gram = np.flatnonzero(tree.grams == context * (head.followers + 1) + follows[i])
+                n = tree.counts[gram[0]] if len(gram) and follows[i] < head.followers else 0.0
+                weight = tree.weights[at[0]]
+                p[i] = (n + weight * p[i]) / (tree.sums[at[0]] + weight)
+    return p
+
+
+def test_states_are_distributions(spark):
+    """The shares of all known words, of any other one and of the end add up to 1."""
+    rows = [(i, ("new york city " * 3 + f"old town hall x{i % 5} ") * 4) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    vocabulary = suffix_tree._counted(frame, lambda tokens, counts: tokens)
+    head = suffix_tree.Head.of(vocabulary)
+    tree = suffix_tree.grow(suffix_tree.count_contexts(frame, head), head)
+    assert len(tree.contexts) > 3
+    known = ["new", "york", "city", "old", "town", "hall", *(f"x{i}" for i in range(5))]
+    for before in ("", "new", "new york", "york", "city new", "hall"):
+        after = [shares(f"{before} {word}", head, tree)[-2] for word in [*known, "unknown"]]
+        assert sum(after) + shares(before, head, tree)[-1] == pytest.approx(1.0)
+    for text in ("new york city old", "unknown new york", ""):
+        found = suffix_tree.score_block(pa.array([text]), head, tree)
+        rare = len(found["rare"][0].as_py()) * np.log10(0.5 / head.scale)
+        assert found["score_head"][0] + rare == pytest.approx(np.log10(shares(text, head, tree)).sum())
+
+
+@pytest.mark.parametrize("name,stage", cp.STAGES)
+def test_stages_of_odd_rows(name, stage, spark, docs, none, sf_dir):
+    columns = list(cp.COLUMNS)
+    got = stage(spark, docs, sf_dir)
+    assert {r.doc_id for r in got.collect()} <= {row[0] for row in DOCS}
+    assert stage(spark, none, sf_dir).collect() == []
+    if (name, stage) != cp.STAGES[-1]:
+        assert got.columns == columns
