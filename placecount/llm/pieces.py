@@ -3,7 +3,8 @@
 Encoding keeps an agenda of adjacent symbol pairs whose join is a piece, ordered by
 the piece's score and then by position. The best pair is joined and its new
 neighbours enter the agenda, until it is empty. Symbols that are no pieces fall back
-to bytes.
+to bytes. The agenda of a long run is a heap; that of a short one is a plain list of
+scores, searched for its first largest entry, which takes less time there.
 
 No piece of such a vocabulary goes on past a space mark that follows another sign, so
 a text is encoded run by run ("▁▁word"), and a run seen before is not encoded again.
@@ -27,8 +28,10 @@ from pyspark.sql.types import StructType
 from placecount.llm.text import blocks
 
 SPACE = "▁"
-CACHE_RUNS = 300_000
+CACHE_RUNS = 500_000
+SHORT_RUN = 48
 _RUN = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_NO_PIECE = float("-inf")
 _OUT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -54,11 +57,41 @@ class Vocabulary:
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece goes on past a space mark; texts cannot be cut into runs")
         # Runs used lately, and those used before them; together at most twice CACHE_RUNS.
-        self._runs: dict[str, tuple[str, int]] = {}
-        self._older: dict[str, tuple[str, int]] = {}
+        self._runs: dict[str, tuple[str, int, str]] = {}
+        self._older: dict[str, tuple[str, int, str]] = {}
 
     def encode_run(self, run: str) -> list[int]:
         """Ids of one run, by the agenda."""
+        symbols = self._joined_by_list(run) if len(run) <= SHORT_RUN else self._joined_by_heap(run)
+        out: list[int] = []
+        for symbol in symbols:
+            known = self.ids.get(symbol)
+            if known is not None:
+                out.append(known)
+            elif self.bytes:
+                out += [self.bytes[b] for b in symbol.encode()]
+            else:
+                out.append(self.unknown)
+        return out
+
+    def _joined_by_list(self, run: str) -> list[str]:
+        score = self.scores.get
+        symbols = list(run)
+        agenda = [score(a + b, _NO_PIECE) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = max(agenda)
+            if best == _NO_PIECE:
+                break
+            i = agenda.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = score(symbols[i] + symbols[i + 1], _NO_PIECE)
+            if i:
+                agenda[i - 1] = score(symbols[i - 1] + symbols[i], _NO_PIECE)
+        return symbols
+
+    def _joined_by_heap(self, run: str) -> list[str]:
         symbols: list[str | None] = list(run)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -85,20 +118,13 @@ class Vocabulary:
                 propose(left, following)
             if before[left] >= 0:
                 propose(before[left], left)
-        out: list[int] = []
-        for symbol in symbols:
-            if symbol is not None:
-                known = self.ids.get(symbol)
-                if known is not None:
-                    out.append(known)
-                elif self.bytes:
-                    out += [self.bytes[b] for b in symbol.encode()]
-                else:
-                    out.append(self.unknown)
-        return out
+        return [symbol for symbol in symbols if symbol is not None]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: bytes joined as UTF-8, space marks as spaces, the first dropped."""
+        return self._decode_run(ids).removeprefix(" ")
+
+    def _decode_run(self, ids: list[int]) -> str:
         out, pending = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -111,8 +137,7 @@ class Vocabulary:
                 out.append(self.pieces[i])
         if pending:
             out.append(pending.decode(errors="replace"))
-        text = "".join(out).replace(SPACE, " ")
-        return text[1:] if text.startswith(" ") else text
+        return "".join(out).replace(SPACE, " ")
 
     def runs(self, text: str) -> list[str]:
         return _RUN.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -120,11 +145,11 @@ class Vocabulary:
     def encode(self, text: str) -> list[int]:
         return [i for run in self.runs(text) for i in self.encode_run(run)]
 
-    def learn(self, texts: list[str]) -> None:
-        """Encode the runs of ``texts`` that are not known yet, and check them."""
+    def learn(self, texts: list[list[str]]) -> None:
+        """Encode and decode the runs of texts that are not known yet, and check them."""
         if len(self._runs) > CACHE_RUNS:
             self._older, self._runs = self._runs, {}
-        wanted = {run for text in texts for run in self.runs(text)} - self._runs.keys()
+        wanted = set().union(*texts) - self._runs.keys()
         again = wanted & self._older.keys()
         self._runs.update((run, self._older[run]) for run in again)
         new = list(wanted - again)
@@ -136,12 +161,15 @@ class Vocabulary:
                 if run != SPACE and ids != theirs:
                     raise ValueError(f"encoding differs from the library's: {run!r}")
         for run, ids in zip(new, found):
-            self._runs[run] = " ".join(map(str, ids)), len(ids)
+            self._runs[run] = " ".join(map(str, ids)), len(ids), self._decode_run(ids)
 
-    def encode_known(self, text: str) -> tuple[str, int]:
-        """Ids of a text whose runs are known, as text joined by spaces, and their number."""
-        known = [self._runs[run] for run in self.runs(text)]
-        return " ".join([ids for ids, _ in known]), sum([n for _, n in known])
+    def known(self, runs: list[str]) -> tuple[str, int, str]:
+        """Of a text whose runs are known: its ids joined by spaces, their number, and the
+        text they decode to. No character's bytes lie in two runs, so runs decode alone."""
+        if not runs:
+            return "", 0, ""
+        ids, counts, texts = zip(*map(self._runs.__getitem__, runs))
+        return " ".join(ids), sum(counts), "".join(texts).removeprefix(" ")
 
 
 @lru_cache(maxsize=1)
@@ -175,20 +203,19 @@ def encode_documents(
 
 
 def _encoded(vocabulary: Vocabulary, texts: list[str], kept: pa.RecordBatch, with_ids: bool) -> pa.RecordBatch:
-    vocabulary.learn(texts)
+    runs = [vocabulary.runs(text) for text in texts]
+    vocabulary.learn(runs)
     counts, ids_sha, decoded_sha, arrays = [], [], [], []
     for i, text in enumerate(texts):
-        joined, n = vocabulary.encode_known(text)
-        ids = [*map(int, joined.split())]
-        decoded = vocabulary.decode(ids)
+        joined, n, decoded = vocabulary.known(runs[i])
+        whole = f"{joined} {vocabulary.end}" if joined else str(vocabulary.end)
         if i == 0 and vocabulary.check:
             theirs = vocabulary.library.encode(text, add_eos=True)
-            if [*ids, vocabulary.end] != theirs or decoded != vocabulary.library.decode(theirs):
+            if whole != " ".join(map(str, theirs)) or decoded != vocabulary.library.decode(theirs):
                 raise ValueError("encoding or decoding of a text differs from the library's")
-        whole = f"{joined} {vocabulary.end}" if joined else str(vocabulary.end)
         counts.append(n + 1)
         if with_ids:
-            arrays.append(np.array([*ids, vocabulary.end], np.int32))
+            arrays.append(np.array(whole.split(), np.int32))
         ids_sha.append(hashlib.sha256(whole.encode()).hexdigest())
         decoded_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
     for name, values in (("n_tokens", counts), ("ids_sha256", ids_sha), ("decoded_sha256", decoded_sha)):
