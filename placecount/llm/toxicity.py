@@ -33,7 +33,7 @@ MIN_EVIDENCE = 30.0  # G statistic; chance reaches it about once in twenty milli
 PREFIXES = (4, 5, 6)
 PENALTY = 4.0
 L2 = 1e-4
-STEPS = 400
+STEPS = 800
 PAIRS_PER_TEXT = 8
 PRIOR = -2.0  # logit without any labelled row of one of the classes
 _FLUSH = 200_000
@@ -214,7 +214,8 @@ def fit(
 
 
 def _train(rows: list[dict], n_features: int, penalty: float) -> tuple[np.ndarray, float]:
-    """Minimise log loss, L2 and the counterfactual penalty by Adam over all rows."""
+    """Minimise log loss, L2 and the counterfactual penalty by Adam over all rows. Both
+    classes weigh the same, as their numbers only tell what was labelled."""
     texts = sorted((r["kind"], r["ids"]) for r in rows if r["kind"] >= 0)
     pairs = sorted((r["ids"], r["swapped"]) for r in rows if r["kind"] < 0)
     labels = np.array([kind for kind, _ in texts], float)
@@ -223,12 +224,13 @@ def _train(rows: list[dict], n_features: int, penalty: float) -> tuple[np.ndarra
     cf_row = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b in pairs])
     cf_col = np.array([i for a, b in pairs for i in (*a, *b)], np.int64)
     cf_sign = np.array([s for a, b in pairs for s in (*[1.0] * len(a), *[-1.0] * len(b))])
+    weight = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
     theta = np.zeros(n_features + 1)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
         w = theta[:-1]
         logit = theta[-1] + np.bincount(row, w[col], len(texts))
-        error = (_sigmoid(logit) - labels) / len(texts)
+        error = (_sigmoid(logit) - labels) * weight
         grad = np.append(np.bincount(col, error[row], n_features) + L2 * w, error.sum())
         if len(pairs):
             change = np.bincount(cf_row, cf_sign * w[cf_col], len(pairs)) * (2 * penalty / len(pairs))
