@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from placecount.session import durable
@@ -19,9 +19,9 @@ def components(edges: DataFrame) -> DataFrame:
     both = durable(
         edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     )
-    found = durable(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("least")).select(
+    found = both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("least")).select(
         "v", F.least("v", "least").alias("root")
-    ))
+    )
     while True:
         of_neighbour = found.select(F.col("v").alias("b"), F.col("root").alias("near"))
         nearest = both.join(of_neighbour, "b").groupBy("a").agg(F.min("near").alias("near"))
@@ -29,9 +29,10 @@ def components(edges: DataFrame) -> DataFrame:
             "v", F.col("root").alias("before"), F.least("root", "near").alias("root")
         )
         further = hooked.select(F.col("v").alias("at"), F.col("root").alias("next"))
-        jumped = durable(
-            hooked.join(further, F.col("root") == F.col("at")).select("v", "before", F.col("next").alias("root"))
+        jumped = hooked.join(further, F.col("root") == F.col("at")).select(
+            "v", "before", F.col("next").alias("root")
         )
-        if jumped.where("root != before").isEmpty():
-            return jumped.select("v", "root")
-        found = jumped.select("v", "root")
+        seen = Observation()
+        found = durable(jumped.observe(seen, F.count_if(F.col("root") != F.col("before")).alias("changed")).drop("before"))
+        if not seen.get["changed"]:
+            return found

@@ -17,8 +17,11 @@ than that, agree in some part (pigeonhole). Parts are joined by their hash.
   different sets have the same name is checked.
 * Sets that share a part are not paired with each other: each is compared with the
   least of them. Verified links make components; only parts whose sets are still in
-  different components are taken up again, with the next sets in turn. So no link is
-  lost, and a group of copies costs one comparison each.
+  different components are taken up again. There the sets of the smallest components
+  are leaders in turn, as all that the largest one's members lack is a comparison with
+  those. Tasks hold a bounded number of leaders and pass the other sets by them, so
+  pairs that are too far apart are never rows. So no link is lost, and a group of
+  copies costs one comparison each.
 * A pair is verified by the Hamming distance of whole sketches, then by the texts.
 """
 
@@ -41,7 +44,9 @@ PERCENT = 85
 PARTS_PER_DIFFERENCE = 1.5
 PART_BITS = 1024
 SEEDS = 4
-LEADERS = 8
+LEADERS = 64
+MOST_LEADERS = 4096
+MEMBERS_PER_TASK_ROW = 2_000
 COMPARED_PER_LEADER_ROW = 64
 # Ids of texts to compare are sent to all tasks up to this number, 16 bytes each.
 BROADCAST_IDS = 1_000_000
@@ -183,6 +188,67 @@ def _within_reach(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFr
     return pairs.where(fits).mapInArrow(run, "a long, b long")
 
 
+def _near_pairs(rows: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of a leading set and another one of the same key but another
+    component that sizes and sketches allow to link. The rows of a key are split over
+    tasks, to each of which its leaders go; there are at most ``MOST_LEADERS``.
+    """
+    known = rows.join(vertices.select("v", "n", "sketch"), "v")
+    columns = ("v", "root", "n", "sketch")
+    own = F.pmod(F.xxhash64("v"), "parts").cast("int")
+    members = known.select("key", own.alias("part"), F.lit(1).alias("kind"), *columns)
+    leading = known.where("leads").select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), *columns
+    )
+    laid_out = (
+        leading.unionAll(members).repartition("key", "part").sortWithinPartitions("key", "part", "kind")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, leaders = None, []
+        for batch in batches:
+            place = list(zip(batch.column("key").to_pylist(), batch.column("part").to_pylist()))
+            kinds = batch.column("kind").to_pylist()
+            rows = list(zip(*(batch.column(c).to_pylist() for c in columns)))
+            pairs: set[tuple[int, int]] = set()
+            start = 0
+            for stop in range(1, len(rows) + 1):
+                if stop < len(rows) and (place[stop], kinds[stop]) == (place[start], kinds[start]):
+                    continue
+                if place[start] != at:
+                    at, leaders = place[start], []
+                if kinds[start] == 0:
+                    leaders += rows[start:stop]
+                else:
+                    pairs |= _near(leaders, rows[start:stop], percent)
+                start = stop
+            columns_out = zip(*sorted(pairs)) if pairs else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns_out], names=["a", "b"])
+
+    return laid_out.mapInArrow(run, "a long, b long").distinct()
+
+
+def _near(leaders: list[tuple], members: list[tuple], percent: int) -> set[tuple[int, int]]:
+    """Pairs of (v, root, n, sketch) rows of different components within reach. Sketches
+    of one key have two lengths at most, or three; each is folded once."""
+    shortest = min(len(row[3]) for row in (*leaders, *members))
+
+    def arrays(rows):
+        folded = [
+            np.bitwise_xor.reduce(np.frombuffer(row[3], np.uint64).reshape(-1, shortest // 8), axis=0) for row in rows
+        ]
+        return *(np.array([row[i] for row in rows], np.int64) for i in range(3)), np.array(folded)
+
+    v, root, n, bits = arrays(members)
+    found = set()
+    for a, root_a, n_a, bits_a in zip(*arrays(leaders)):
+        reach = (100 - percent) * (n + n_a) // (100 + percent)
+        distance = np.bitwise_count(bits ^ bits_a).sum(axis=1)
+        near = (distance <= reach) & (root != root_a) & (np.minimum(n, n_a) * 100 >= np.maximum(n, n_a) * percent)
+        found |= {(min(int(a), b), max(int(a), b)) for b in v[near].tolist()}
+    return found
+
+
 def _shingles(text: str, k: int) -> set[tuple[bytes, ...]]:
     """The set itself. Bytes are lower-cased and split in ASCII only, as is wanted here."""
     w = text.encode().lower().split()
@@ -274,28 +340,25 @@ def link_classes(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT
     rest, leaders = follow.select("key", "v"), LEADERS
     while True:
         # Parts whose sets lie in several components still hide pairs never compared.
-        placed = rest.join(roots, "v", "left").select("key", "v", F.coalesce("root", "v").alias("root"))
-        several = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y")
-        rest = durable(placed.join(several.select("key"), "key"))
+        sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+        sized = roots.join(sizes, "root")
+        placed = rest.join(sized, "v", "left").select(
+            "key", "v", F.coalesce("root", "v").alias("root"), F.coalesce("size", F.lit(1)).alias("size")
+        )
+        several = placed.groupBy("key").agg(
+            F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("rows")
+        )
+        several = several.where("x < y").select("key", F.ceil(F.col("rows") / MEMBERS_PER_TASK_ROW).cast("int").alias("parts"))
+        turn = Window.partitionBy("key").orderBy("size", "v")
+        rest = durable(placed.join(several, "key").withColumn("leads", F.row_number().over(turn) <= leaders))
         if rest.isEmpty():
             break
-        turn = Window.partitionBy("key").orderBy("v")
-        heads = rest.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= leaders)
-        heads = durable(heads.select("key", F.col("v").alias("a"), F.col("root").alias("root_a")))
-        new = (
-            rest.join(heads, "key")
-            .where((F.col("a") < F.col("v")) & (F.col("root_a") != F.col("root")))
-            .select("a", F.col("v").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        new = durable(new)
+        new = durable(_near_pairs(rest, vertices, percent).join(tested, ["a", "b"], "left_anti"))
         if not new.isEmpty():
             links = links.unionAll(_linked(new, vertices, docs, k, percent))
             roots = components(links)
             tested = tested.unionAll(new)
-        done = heads.select("key", F.col("a").alias("v"))
-        rest, leaders = rest.select("key", "v").join(done, ["key", "v"], "left_anti"), leaders * 4
+        rest, leaders = rest.where("not leads").select("key", "v"), min(leaders * 16, MOST_LEADERS)
     return _classes(sets, vertices, roots)
 
 
