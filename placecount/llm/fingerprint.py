@@ -14,11 +14,10 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import StructType
 
 from placecount.llm.text import blocks, text_shingles
 
@@ -89,6 +88,20 @@ def _ranges(docs: DataFrame, per_partition: int = 4) -> list:
     return docs.approxQuantile("doc_id", shares, 0.25 / n) if shares else []
 
 
+def _place(value: Column, ends: list[float], step: int = 256) -> Column:
+    """How many of the sorted ``ends`` are below a value: among every 256th, then there."""
+
+    def below(among: Column) -> Column:
+        return F.size(F.filter(among, lambda end: end < value))
+
+    def array(some: list[float]) -> str:
+        return f"cast(array({', '.join(f'{float(end)!r}D' for end in some)}) as array<double>)"
+
+    coarse = below(F.expr(array(ends[step - 1 :: step])))
+    fine = [array(ends[i : i + step]) for i in range(0, len(ends), step)] or [array([])]
+    return coarse * step + F.coalesce(below(F.get(F.expr(f"array({', '.join(fine)})"), coarse)), F.lit(0))
+
+
 def beside_next(docs: DataFrame) -> DataFrame:
     """Rows (part, guest, doc_id, tie, text), laid out so that each document's next one
     in descending id order follows it in its partition; after the last comes the first.
@@ -97,46 +110,29 @@ def beside_next(docs: DataFrame) -> DataFrame:
     range before it, whose last row it follows. The driver learns one row per range.
     Null ids come last; equal ids are ordered by a hash of the text.
     """
-    ends = np.array(sorted(set(_ranges(docs))), float)
-
-    @F.pandas_udf(IntegerType())
-    def part_of(ids: pd.Series) -> pd.Series:
-        parts = np.searchsorted(ends, ids.fillna(0).to_numpy(float), side="left")
-        return pd.Series(np.where(ids.isna(), -1, parts))
-
+    ends = sorted(set(_ranges(docs)))
     tie = F.xxhash64(F.coalesce("text", F.lit("")))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    top = F.max(F.struct("doc_id", "tie")).alias("top")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), tie.alias("tie")).withColumn(
+        "own", F.when(F.col("doc_id").isNull(), -1).otherwise(_place(F.col("doc_id").cast("double"), ends))
+    )
     tops = {
-        row["part"]: (row["top"]["doc_id"], row["top"]["tie"])
-        for row in rows.select(part_of("doc_id").alias("part"), "doc_id", tie.alias("tie"))
-        .groupBy("part")
-        .agg(top)
-        .collect()
+        row["own"]: row["top"]
+        for row in rows.groupBy("own").agg(F.max(F.struct("doc_id", "tie")).alias("top")).collect()
     }
     order = sorted(tops, reverse=True)
-    goes_to = {after: before for before, after in zip(order, order[1:] + order[:1])}
-
-    @F.pandas_udf(IntegerType())
-    def guest_of(part: pd.Series, ids: pd.Series, ties: pd.Series) -> pd.Series:
-        def find(p, i, t):
-            first_id, first_tie = tops[p]
-            same = pd.isna(i) if first_id is None else i == first_id
-            return goes_to[p] if same and t == first_tie else None
-
-        return pd.Series([find(*x) for x in zip(part, ids, ties)], dtype="Int32")
-
-    placed = rows.withColumn("own", part_of("doc_id")).withColumn("tie", tie)
-    visits = placed.withColumn("away", guest_of("own", "doc_id", "tie")).withColumn(
-        "visit",
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.struct(F.col("own").alias("part"), F.lit(0).alias("guest")),
-                    F.when(F.col("away").isNotNull(), F.struct(F.col("away").alias("part"), F.lit(1).alias("guest"))),
-                )
-            )
-        ),
+    visits = [
+        (after, tops[after]["doc_id"], tops[after]["tie"], before)
+        for before, after in zip(order, order[1:] + order[:1])
+    ]
+    first = docs.sparkSession.createDataFrame(visits, "of int, top_id long, top_tie long, away int")
+    is_top = (
+        (F.col("own") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("top_id")) & (F.col("tie") == F.col("top_tie"))
+    )
+    here = F.struct(F.col("own").alias("part"), F.lit(0).alias("guest"))
+    there = F.when(F.col("away").isNotNull(), F.struct(F.col("away").alias("part"), F.lit(1).alias("guest")))
+    # One row for each range, of which there are at most MAX_RANGES.
+    visits = rows.join(F.broadcast(first), is_top, "left").withColumn(
+        "visit", F.explode(F.array_compact(F.array(here, there)))
     )
     return (
         visits.select("visit.part", "visit.guest", "doc_id", "tie", "text")
