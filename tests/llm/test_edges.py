@@ -275,3 +275,12 @@ def test_stages_of_odd_rows(name, stage, spark, docs, none, sf_dir):
     assert stage(spark, none, sf_dir).collect() == []
     if (name, stage) != cp.STAGES[-1]:
         assert got.columns == columns
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 16, 23])
+def test_places_among_ends(spark, n):
+    ends = [float(3 * i - 10) for i in range(n)]
+    values = [-50.0, -10.0, -9.0, 0.5, 2.0, 20.0, 1e12]
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in frame.select(fingerprint._place(F.col("x"), ends, step=4)).collect()]
+    assert got == np.searchsorted(ends, values, side="left").tolist()
