@@ -44,7 +44,7 @@ PERCENT = 85
 PARTS_PER_DIFFERENCE = 1.5
 PART_BITS = 1024
 SEEDS = 4
-LEADERS = 64
+LEADERS = 16
 MOST_LEADERS = 4096
 MEMBERS_PER_TASK_ROW = 2_000
 COMPARED_PER_LEADER_ROW = 64
