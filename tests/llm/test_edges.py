@@ -284,3 +284,21 @@ def test_places_among_ends(spark, n):
     frame = spark.createDataFrame([(v,) for v in values], "x double")
     got = [r[0] for r in frame.select(fingerprint._place(F.col("x"), ends, step=4)).collect()]
     assert got == np.searchsorted(ends, values, side="left").tolist()
+
+
+def test_spans_of_random_texts(spark):
+    """Positions and liveness against plain Python, over texts made of awkward parts."""
+    import random
+
+    r = random.Random(11)
+    parts = ["password", "PASSWD", "Secret", "token", "api_key", "apiKEY", ":", "=", " ", "'", '"', "abc", "dead", "beef12",
+             "AKIA", "Q7ZX", "0123456789", "é", "\U0001F600", "\n", "-", "/x", "aB3", "fedcba98", "ſ", "K"]
+    rows = [(i, "".join(r.choice(parts) for _ in range(r.randrange(0, 60))), f"o{i % 5}") for i in range(400)]
+    rows += [(1000 + i, f"token = shared{i % 3}value and AKIA{'ABCD' * 4}{i % 4}", f"o{i % 5}") for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    live = brute.live_secrets([(i, s, t) for i, t, s in rows])
+    assert live
+    for row in secret_scan.scan(frame, F.col("source"), F.col("doc_id")).collect():
+        text = dict((i, t) for i, t, _ in rows)[row.doc_id]
+        assert [(s.start, s.kind, s.end) for s in row.base] == brute.base_spans(text)
+        assert [(s.start, s.kind, s.end) for s in row.live] == live.get(row.doc_id, [])
