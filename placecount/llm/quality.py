@@ -6,7 +6,8 @@ language by the Jensen-Shannon distance (base 2, 0 to 1). Short texts have unrel
 histograms, so each comparison needs a minimum length.
 
 Two passes over the texts: one for the references, whose counts are merged by one
-aggregation, and one that measures documents, without a shuffle.
+aggregation, and one that measures documents, without a shuffle. Only documents of
+languages beyond the ``SENT_LANGUAGES`` with most text are shuffled, to their references.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ MIN_WORDS = 80
 # Ordinary prose of 80 words or more stays below 0.24 and 0.39 in all four languages.
 MAX_CLASS_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.45
-# A language needs this share of all words to have a reference, so there are at most 1000.
-MIN_LANGUAGE_SHARE = 0.001
+# References of the languages with most text are sent to all tasks; others are joined.
+SENT_LANGUAGES = 1_000
 MIN_BASE_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW_WORDS = 8
@@ -76,7 +77,7 @@ def _hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[tx.Words, np.n
 
 def references(docs: DataFrame) -> DataFrame:
     """(lang, kind, key, n): class counts, and counts of the commonest words by hash,
-    of every language with ``MIN_LANGUAGE_SHARE`` of all words. Kind 2 counts all words."""
+    of every language. Kind 2 counts all words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
@@ -127,10 +128,7 @@ def references(docs: DataFrame) -> DataFrame:
     )
     by_count = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
     top = durable(counted.withColumn("place", F.row_number().over(by_count)).where(F.col("place") <= COMMON_WORDS))
-    words = top.where("kind = 2").select(F.col("lang").alias("of"), F.col("n").alias("all"))
-    total = words.agg(F.sum("all").alias("total"))
-    large = words.crossJoin(F.broadcast(total)).where(F.col("all") >= MIN_LANGUAGE_SHARE * F.col("total")).select("of")
-    return top.join(large, F.col("lang").eqNullSafe(F.col("of"))).select("lang", "kind", "key", "n")
+    return top.select("lang", "kind", "key", "n")
 
 
 class Reference:
@@ -249,12 +247,16 @@ def measure_block(data: np.ndarray, offsets: np.ndarray, langs: list, known: dic
 def judge(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Measures and verdict of each of ``docs`` (text, lang and the columns to keep).
 
-    Null text is empty, and fails as too short. Null is a language of its own. A
-    language without a reference, or a text below the minimum lengths, is judged by the
-    base rules alone; its distances are null.
+    Null text is empty, and fails as too short. Null is a language of its own. A text
+    below the minimum lengths is judged by the base rules alone; its distances are null.
+    Every language has a reference, which holds at least the text that it judges.
     """
+    table = references(docs)
+    by_size = table.where("kind = 0").groupBy(F.col("lang").alias("_of")).agg(F.sum("n").alias("_size"))
+    sent = durable(by_size.orderBy(F.desc("_size"), "_of").limit(SENT_LANGUAGES).select("_of"))
+    same = F.col("lang").eqNullSafe(F.col("_of"))
     by_lang: dict = {}
-    for row in references(docs).collect():  # at most 1000 languages, 59 rows each
+    for row in table.join(F.broadcast(sent), same).collect():  # 59 rows for each language
         by_lang.setdefault(row["lang"], []).append((row["kind"], row["key"], row["n"]))
     known = {lang: Reference(rows) for lang, rows in by_lang.items()}
     names = [part.split()[0] for part in _MEASURES.split(", ")]
@@ -263,9 +265,15 @@ def judge(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, langs = batch.column("_text"), batch.column("_lang").to_pylist()
-            found = [
-                measure_block(*tx.utf8(texts.slice(a, b - a)), langs[a:b], known) for a, b in tx.blocks(texts)
-            ]
+            own = known
+            if "_reference" in batch.schema.names:
+                first = {lang: i for i, lang in enumerate(langs)}
+                rows = batch.column("_reference")
+                own = {
+                    lang: Reference([(r["kind"], r["key"], r["n"]) for r in rows[i].as_py() or ()])
+                    for lang, i in first.items()
+                }
+            found = [measure_block(*tx.utf8(texts.slice(a, b - a)), langs[a:b], own) for a, b in tx.blocks(texts)]
             kept = batch.select(list(keep))
             for name in names:
                 values = np.concatenate([f[name] for f in found])
@@ -274,4 +282,16 @@ def judge(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
                 )
             yield kept
 
-    return docs.select(*keep, F.col("text").alias("_text"), F.col("lang").alias("_lang")).mapInArrow(run, schema)
+    rows = docs.select(*keep, F.col("text").alias("_text"), F.col("lang").alias("_lang"))
+    if len(known) < SENT_LANGUAGES:
+        return rows.mapInArrow(run, schema)
+    # Each of the other languages has less than 1 / SENT_LANGUAGES of the text.
+    is_sent = F.col("_lang").eqNullSafe(F.col("_of"))
+    others = (
+        table.join(F.broadcast(sent), same, "left_anti")
+        .groupBy(F.col("lang").alias("_of"))
+        .agg(F.collect_list(F.struct("kind", "key", "n")).alias("_reference"))
+    )
+    joined = rows.join(F.broadcast(sent), is_sent, "left_anti").join(others, is_sent, "left").drop("_of")
+    near = rows.join(F.broadcast(sent), is_sent, "left_semi")
+    return near.mapInArrow(run, schema).unionByName(joined.mapInArrow(run, schema))
