@@ -34,7 +34,6 @@ PREFIXES = (4, 5, 6)
 PENALTY = 4.0
 L2 = 1e-4
 STEPS = 800
-PAIRS_PER_TEXT = 8
 PRIOR = -2.0  # logit without any labelled row of one of the classes
 _FLUSH = 200_000
 _CACHE = 500_000
@@ -198,17 +197,27 @@ def fit(
         for batch in batches:
             rows = []
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                rows.append((int(toxic), vector(text or ""), []))
-                pairs = [(s, x) for s in _SENTENCE.split(text or "") if (x := swapped(s, terms))]
-                rows += [(-1, vector(s), vector(x)) for s, x in pairs[:PAIRS_PER_TEXT]]
+                rows.append((int(toxic), vector(text or ""), [], 1))
+                pairs = Counter(
+                    (tuple(vector(s)), tuple(vector(x)))
+                    for s in _SENTENCE.split(text or "")
+                    if (x := swapped(s, terms))
+                )
+                rows += [(-1, a, b, n) for (a, b), n in pairs.items()]
             ids = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(zip(*rows), (pa.int32(), ids, ids))],
-                names=["kind", "ids", "swapped"],
+                [pa.array(list(c), k) for c, k in zip(zip(*rows), (pa.int32(), ids, ids, pa.int64()))],
+                names=["kind", "ids", "swapped", "times"],
             )
 
-    # Bounded like the sample: a few feature numbers for each of its texts.
-    rows = sample.mapInArrow(vectors, "kind int, ids array<int>, swapped array<int>").toArrow().to_pylist()
+    # Equal rows count together. Distinct ones are few feature numbers each, of the sample's texts and sentences.
+    rows = (
+        sample.mapInArrow(vectors, "kind int, ids array<int>, swapped array<int>, times long")
+        .groupBy("kind", "ids", "swapped")
+        .agg(F.sum("times").alias("times"))
+        .toArrow()
+        .to_pylist()
+    )
     weights, bias = _train(rows, len(names), penalty)
     return Model(dict(zip(names, weights.tolist())), bias)
 
@@ -216,15 +225,18 @@ def fit(
 def _train(rows: list[dict], n_features: int, penalty: float) -> tuple[np.ndarray, float]:
     """Minimise log loss, L2 and the counterfactual penalty by Adam over all rows. Both
     classes weigh the same, as their numbers only tell what was labelled."""
-    texts = sorted((r["kind"], r["ids"]) for r in rows if r["kind"] >= 0)
-    pairs = sorted((r["ids"], r["swapped"]) for r in rows if r["kind"] < 0)
+    texts = sorted((r["kind"], r["ids"], r["times"]) for r in rows if r["kind"] >= 0)
+    pairs = sorted((r["ids"], r["swapped"], r["times"]) for r in rows if r["kind"] < 0)
+    times = np.array([n for *_, n in texts], float)
+    cf_times = np.array([n for *_, n in pairs], float)
+    texts, pairs = [t[:2] for t in texts], [p[:2] for p in pairs]
     labels = np.array([kind for kind, _ in texts], float)
     row = np.repeat(np.arange(len(texts)), [len(ids) for _, ids in texts])
     col = np.array([i for _, ids in texts for i in ids], np.int64)
     cf_row = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b in pairs])
     cf_col = np.array([i for a, b in pairs for i in (*a, *b)], np.int64)
     cf_sign = np.array([s for a, b in pairs for s in (*[1.0] * len(a), *[-1.0] * len(b))])
-    weight = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
+    weight = times * np.where(labels == 1, 0.5 / max(1, times[labels == 1].sum()), 0.5 / max(1, times[labels == 0].sum()))
     theta = np.zeros(n_features + 1)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
@@ -233,7 +245,7 @@ def _train(rows: list[dict], n_features: int, penalty: float) -> tuple[np.ndarra
         error = (_sigmoid(logit) - labels) * weight
         grad = np.append(np.bincount(col, error[row], n_features) + L2 * w, error.sum())
         if len(pairs):
-            change = np.bincount(cf_row, cf_sign * w[cf_col], len(pairs)) * (2 * penalty / len(pairs))
+            change = np.bincount(cf_row, cf_sign * w[cf_col], len(pairs)) * cf_times * (2 * penalty / cf_times.sum())
             grad[:-1] += np.bincount(cf_col, cf_sign * change[cf_row], n_features)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         theta -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
