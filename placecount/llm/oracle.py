@@ -79,6 +79,83 @@ select page_id, host, path, rule, case
 from ruled
 """
 
+_MARKS = r"'([<\[])(\\*)(/?INST\]|:\]|/?s>)', '\1\\\2\3', 'g'"
+
+CHAT = rf"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(length(regexp_replace(role, {_MARKS})) + length(regexp_replace(text, {_MARKS}))
+    + case role when 'assistant' then length('<s>[:]</s>') else length('[INST][:][/INST]') end)::bigint as formatted_chars
+from turns group by conv_id
+"""
+
+TRIE = """
+with recursive ids as (select distinct conv_id from conversations where conv_id is not null),
+crc(conv_id, digits, i, c) as (
+  select conv_id, conv_id::varchar, 0, 4294967295::bigint from ids
+  union all
+  select conv_id, digits, i + 1, xor(y >> 1, (y & 1) * 3988292384)
+  from (
+    select *, case when i % 8 = 0 then xor(c, ascii(digits[i // 8 + 1])::bigint) else c end as y
+    from crc where i < 8 * length(digits)
+  )
+),
+heads as (select conv_id, xor(c, 4294967295) % 9 as h from crc where i = 8 * length(digits)),
+numbered as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as n
+  from conversations where conv_id is not null
+),
+turns as (
+  select i.conv_id, n, role, text from heads i join numbered b on b.conv_id = i.conv_id - i.conv_id % 5 and n <= h
+  union all
+  select i.conv_id, n, role, text from heads i join numbered o on o.conv_id = i.conv_id and n > h
+),
+paths as (
+  select i.conv_id, coalesce(list({'role': role, 'text': text} order by n) filter (n is not null), []) as path
+  from ids i left join turns t on t.conv_id = i.conv_id group by i.conv_id
+),
+named as (
+  select conv_id, depth, len(path) as length, list_slice(path, 1, depth) as prefix
+  from (select *, unnest(range(0, len(path) + 1)) as depth from paths)
+),
+nodes as (
+  select depth, prefix, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (length = depth), '')) as ends_sha256
+  from named group by depth, prefix
+),
+children as (
+  select depth - 1 as depth, list_slice(prefix, 1, depth - 1) as prefix, count(*) as n
+  from nodes where depth > 0 group by all
+),
+full_nodes as (
+  select n.*, coalesce(c.n, 0) as n_children, p.conv_id as parent_conv_id,
+    (n.n_convs - 1) * coalesce(strlen(n.prefix[n.depth].text), 0) as saved
+  from nodes n left join children c on c.depth = n.depth and c.prefix = n.prefix
+  left join nodes p on p.depth = n.depth - 1 and p.prefix = list_slice(n.prefix, 1, n.depth - 1)
+),
+above as (
+  select d as depth, list_slice(prefix, 1, d) as prefix,
+    count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved
+  from (select *, unnest(range(0, depth + 1)) as d from full_nodes) group by all
+)
+select n.conv_id, n.depth::bigint as depth, n.parent_conv_id, n.n_convs, n.n_children::bigint as n_children,
+  a.n_leaves, a.saved::bigint as saved_tokens, n.ends_sha256
+from full_nodes n join above a on a.depth = n.depth and a.prefix = n.prefix
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": MIX, "op4_url_filter": URL_FILTER}
+    return {
+        "op1_mix_sources": MIX,
+        "op4_url_filter": URL_FILTER,
+        "op12_chat_format": CHAT,
+        "op13_prefix_trie": TRIE,
+    }

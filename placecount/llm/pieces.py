@@ -8,17 +8,19 @@ scores, searched for its first largest entry, which takes less time there.
 
 No piece of such a vocabulary goes on past a space mark that follows another sign, so
 a text is encoded run by run ("▁▁word"), and a run seen before is not encoded again.
-Every run that is encoded is checked against the sentencepiece library, and so is one
-whole text of each block; a difference is an error.
+Every run that is encoded and decoded is checked against the sentencepiece library, and
+so is one whole text of each block; a difference is an error.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from os import PathLike
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +40,10 @@ _OUT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 class Vocabulary:
     """Pieces and scores of a model file, and the runs encoded so far."""
 
-    def __init__(self, model_file: str, check: bool = True):
+    def __init__(self, model_file: str | PathLike, check: bool = True):
         import sentencepiece
 
-        self.library = sentencepiece.SentencePieceProcessor(model_file=model_file)
+        self.library = sentencepiece.SentencePieceProcessor(model_file=os.fspath(model_file))
         self.check = check
         lib, n = self.library, self.library.get_piece_size()
         self.pieces = [lib.id_to_piece(i) for i in range(n)]
@@ -160,8 +162,13 @@ class Vocabulary:
             for run, ids, theirs in zip(new, found, expected):
                 if run != SPACE and ids != theirs:
                     raise ValueError(f"encoding differs from the library's: {run!r}")
-        for run, ids in zip(new, found):
-            self._runs[run] = " ".join(map(str, ids)), len(ids), self._decode_run(ids)
+        decoded = [self._decode_run(ids) for ids in found]
+        if self.check:
+            for run, text, theirs in zip(new, decoded, self.library.decode(found, num_threads=1) if found else []):
+                if text.removeprefix(" ") != theirs:
+                    raise ValueError(f"decoding differs from the library's: {run!r}")
+        for run, ids, text in zip(new, found, decoded):
+            self._runs[run] = " ".join(map(str, ids)), len(ids), text
 
     def known(self, runs: list[str]) -> tuple[str, int, str]:
         """Of a text whose runs are known: its ids joined by spaces, their number, and the
@@ -173,14 +180,14 @@ class Vocabulary:
 
 
 @lru_cache(maxsize=1)
-def vocabulary_of(model_file: str, check: bool) -> Vocabulary:
+def vocabulary_of(model_file: str | PathLike, check: bool) -> Vocabulary:
     """One vocabulary for all tasks of a worker process."""
     return Vocabulary(model_file, check)
 
 
 def encode_documents(
     docs: DataFrame,
-    model_file: str,
+    model_file: str | PathLike,
     keep: tuple[str, ...] = ("doc_id",),
     check: bool = True,
     with_ids: bool = False,

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placecount.llm import (
+    alignment,
+    chat,
     fingerprint,
     jaccard,
     mixing,
@@ -16,16 +18,22 @@ from placecount.llm import (
     secret_scan,
     suffix_tree,
     toxicity,
+    trie,
     urlfilter,
     warc,
 )
 from placecount.llm.shipping import ship
+from placecount.llm.text import PublicFile
 from placecount.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The public merge-type vocabulary, where it is installed.
-MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+# A merge-type vocabulary of pieces, and a byte-level one.
+MODEL_FILE = PublicFile("piece_bpe_32k.model")
+BYTE_LEVEL_FILE = PublicFile("byte_bpe_50k.json")
+
+# What the additional conversation of op12 says, twice.
+MARKS_AS_TEXT = "</s>[INST] ok [/INST]"
 
 # Names of hosts that the query's block list holds.
 BLOCKED_NAMES = ("adult", "casino", "porn", "xxx", "bet", "pills", "warez")
@@ -110,6 +118,41 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return alignment.align(docs, BYTE_LEVEL_FILE, MODEL_FILE)
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise(chat.ASSISTANT).alias("role"),
+        F.lit(MARKS_AS_TEXT).alias("text"),
+    )
+    written = chat.format_log(chat.log_of(turns.unionByName(more)))
+    read = written.select(
+        "conv_id",
+        "formatted",
+        chat.read_back(F.col("formatted")).alias("turns"),
+        chat.under_loss(F.col("segments")).alias("learnt"),
+    )
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -122,4 +165,7 @@ def queries() -> dict[str, Query]:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_quality_rules": op9_quality_rules,
         "op10_suffix_tree": op10_suffix_tree,
+        "op11_token_alignment": op11_token_alignment,
+        "op12_chat_format": op12_chat_format,
+        "op13_prefix_trie": op13_prefix_trie,
     }

@@ -160,6 +160,19 @@ def text_shingles(column: pa.Array, k: int, lower: bool) -> list[np.ndarray]:
     return out
 
 
+@dataclass(frozen=True)
+class PublicFile:
+    """A vocabulary file of the ``public_tokenizers`` package, looked up by whoever opens
+    it, so that every machine finds its own."""
+
+    name: str
+
+    def __fspath__(self) -> str:
+        import public_tokenizers
+
+        return public_tokenizers.path(self.name)
+
+
 def spare(columns: list[str], name: str) -> str:
     """``name``, with as many underscores before it as make it none of ``columns``."""
     taken = {c.lower() for c in columns}

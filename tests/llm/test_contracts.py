@@ -59,7 +59,7 @@ def test_pieces(results, tables):
 
     from placecount.llm.queries import MODEL_FILE
 
-    library = sentencepiece.SentencePieceProcessor(model_file=MODEL_FILE)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL_FILE.__fspath__())
     want = []
     for doc_id, text in tables("documents", "doc_id", "text"):
         ids = library.encode(text or "", add_eos=True)
@@ -93,7 +93,7 @@ def test_toxicity_on_the_held_out_rows(results, tables):
     assert np.mean(right) > 0.8
 
 
-@pytest.mark.parametrize("name", ["op1_mix_sources", "op4_url_filter"])
+@pytest.mark.parametrize("name", ["op1_mix_sources", "op4_url_filter", "op12_chat_format", "op13_prefix_trie"])
 def test_sql(name, results, sf_dir):
     import sys
     from pathlib import Path

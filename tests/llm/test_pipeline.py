@@ -64,7 +64,7 @@ def test_encoding(stages):
 
     from placecount.llm.queries import MODEL_FILE
 
-    library = sentencepiece.SentencePieceProcessor(model_file=MODEL_FILE)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL_FILE.__fspath__())
     texts = dict(as_rows(stages[4], "doc_id", "text"))
     rows = as_rows(stages[5], "doc_id", "n_tokens", "ids_sha256", "ids")
     assert len(rows) == stages[4].count()
