@@ -1,6 +1,7 @@
 """A toxicity classifier regularised by counterfactuals.
 
-Logistic regression over which words and word beginnings a text has. Its loss adds,
+Logistic regression over which words and word beginnings a text has, and which
+beginnings two of its words share. Its loss adds,
 for labelled sentences that name a group of people, the squared change of the logit
 when the group is swapped for another (counterfactual logit pairing, Garg et al.,
 2019). What a classifier picks up from groups merely being mentioned next to abuse
@@ -13,9 +14,10 @@ table without a shuffle; the model has at most ``MAX_FEATURES`` weights.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,13 +30,14 @@ from placecount.session import durable
 MAX_TOXIC = 8_000
 MAX_CLEAN = 12_000
 MAX_FEATURES = 4_096
-MIN_DOCS = 5
-MIN_EVIDENCE = 30.0  # G statistic; chance reaches it about once in twenty million features
+MIN_DOCS = 2
+FALSE_SHARE = 0.05  # of the features used, so many may owe their evidence to chance
 PREFIXES = (4, 5, 6)
 PENALTY = 4.0
 L2 = 1e-4
 STEPS = 800
-PRIOR = -2.0  # logit without any labelled row of one of the classes
+MOST_PRIOR = 0.25  # highest score of a text without evidence, however many labels say toxic
+PRIOR = 0.1  # that score where no row of one of the classes is labelled
 _FLUSH = 200_000
 _CACHE = 500_000
 
@@ -61,6 +64,13 @@ def features_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) >= n)]
 
 
+def text_features(words: Iterable[str]) -> set[str]:
+    """Features of a text with these distinct words: those of the words, and each
+    beginning that two of them share, with another star."""
+    times = Counter(f for word in words for f in features_of(word))
+    return {*times, *(f"{f}*" for f, n in times.items() if n > 1)}
+
+
 def swapped(sentence: str, terms=IDENTITY_TERMS) -> str | None:
     """The sentence with every group replaced by the next of its row, or None."""
     following = {a: b for row in terms for a, b in zip(row, row[1:] + row[:1])}
@@ -80,16 +90,20 @@ class Model:
         cache = {} if cache is None else cache
         logits = []
         for text in texts:
-            hits: set[str] = set()
+            hits: list[str] = []
             for word in words_of(text):
                 known = cache.get(word)
                 if known is None:
                     if len(cache) >= _CACHE:
                         cache.clear()
-                    known = cache[word] = tuple(f for f in features_of(word) if f in self.weights)
+                    known = cache[word] = tuple(
+                        f for f in features_of(word) if f in self.weights or f"{f}*" in self.weights
+                    )
                 if known:
-                    hits.update(known)
-            logits.append(self.bias + sum(self.weights[f] for f in sorted(hits)))
+                    hits += known
+            times = Counter(hits)
+            found = sorted(f for f in (*times, *(f"{f}*" for f, n in times.items() if n > 1)) if f in self.weights)
+            logits.append(self.bias + sum(self.weights[f] for f in found))
         return _sigmoid(np.array(logits, float))
 
 
@@ -105,19 +119,20 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN
 ) -> DataFrame:
-    """(text, toxic) of at most the given numbers of labelled ids outside fold 0. An
+    """(text, toxic, fold) of at most the given numbers of labelled ids outside fold 0. An
     id labelled twice is toxic if any label is; labels without value or id are left out."""
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != 0))
         .groupBy(F.col("doc_id").alias("_id"))
         .agg((F.max("toxic") > 0).alias("toxic"))
+        .withColumn("fold", fold(F.col("_id")))
     )
     by_hash = [F.xxhash64("_id"), F.col("_id")]
     kept = known.where("toxic").orderBy(*by_hash).limit(max_toxic).unionAll(
         known.where("not toxic").orderBy(*by_hash).limit(max_clean)
     )
     # At most max_toxic + max_clean ids, so small enough to send to every task.
-    return docs.select("doc_id", "text").join(F.broadcast(kept), F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    return docs.select("doc_id", "text").join(F.broadcast(kept), F.col("doc_id") == F.col("_id")).select("text", "toxic", "fold")
 
 
 def feature_counts(sample: DataFrame) -> DataFrame:
@@ -136,8 +151,7 @@ def feature_counts(sample: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                found = {f for word in words_of(text) for f in features_of(word)}
-                counts.update((f, toxic) for f in found)
+                counts.update((f, toxic) for f in text_features(words_of(text)))
                 counts[("", toxic)] += 1
                 if len(counts) >= _FLUSH:
                     yield flushed()
@@ -163,6 +177,14 @@ def _evidence(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Colum
     )
 
 
+def told_apart(evidence: list[float], tested: int, false_share: float = FALSE_SHARE) -> int:
+    """How many of the strongest features to use, of ``tested`` ones, so that about
+    ``false_share`` of them owe their evidence to chance (Benjamini and Hochberg, 1995).
+    ``evidence`` are the largest G statistics in falling order."""
+    chance = [math.erfc(math.sqrt(max(g, 0.0) / 2)) for g in evidence]
+    return max((k for k, p in enumerate(chance, 1) if p <= false_share * k / tested), default=0)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -171,55 +193,88 @@ def fit(
     penalty: float = PENALTY,
     terms=IDENTITY_TERMS,
 ) -> Model:
-    """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), by id."""
+    """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), by id.
+
+    Without a labelled row of either class, or if no feature tells them apart, every
+    text has the same score: the labelled share of toxic rows, ``MOST_PRIOR`` at most,
+    or ``PRIOR``. So has a text without any evidence, or a lower one. A repeated row
+    counts as often as it occurs; of features with equal evidence the first by name is
+    taken.
+    """
     sample = durable(labelled_sample(docs, labels, max_toxic, max_clean))
     counts = durable(feature_counts(sample))
     totals = counts.where("feature = ''").agg(F.sum("toxic"), F.sum("clean")).first()
     n_toxic, n_clean = (int(n or 0) for n in totals)
     if not n_toxic or not n_clean:
-        return Model({}, PRIOR)
+        return Model({}, _logit(PRIOR))
     g = _evidence(F.col("toxic"), F.col("clean"), n_toxic, n_clean)
-    names = [
-        row["feature"]
-        for row in counts.where((F.col("feature") != "") & (F.col("toxic") + F.col("clean") >= MIN_DOCS))
-        .withColumn("g", g)
-        .where(F.col("g") >= MIN_EVIDENCE)
-        .orderBy(F.col("g").desc(), "feature")
-        .limit(MAX_FEATURES)
-        .collect()
-    ]
+    tested = counts.where((F.col("feature") != "") & (F.col("toxic") + F.col("clean") >= MIN_DOCS))
+    strongest = tested.withColumn("g", g).orderBy(F.col("g").desc(), "feature").limit(MAX_FEATURES).collect()
+    names = [row["feature"] for row in strongest]
+    names = names[: told_apart([row["g"] for row in strongest], tested.count())]
     number = {name: i for i, name in enumerate(names)}
 
     def vector(text: str) -> list[int]:
-        return sorted({number[f] for word in words_of(text) for f in features_of(word) if f in number})
+        return sorted(number[f] for f in text_features(words_of(text)) if f in number)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                rows.append((int(toxic), vector(text or ""), [], 1))
+            for text, toxic, part in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "fold"))):
+                rows.append((int(toxic), part, vector(text or ""), [], 1))
                 pairs = Counter(
                     (tuple(vector(s)), tuple(vector(x)))
                     for s in _SENTENCE.split(text or "")
                     if (x := swapped(s, terms))
                 )
-                rows += [(-1, a, b, n) for (a, b), n in pairs.items()]
+                rows += [(-1, part, a, b, n) for (a, b), n in pairs.items()]
             ids = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(zip(*rows), (pa.int32(), ids, ids, pa.int64()))],
-                names=["kind", "ids", "swapped", "times"],
+                [pa.array(list(c), k) for c, k in zip(zip(*rows), (pa.int32(), pa.int32(), ids, ids, pa.int64()))],
+                names=["kind", "fold", "ids", "swapped", "times"],
             )
 
     # Equal rows count together. Distinct ones are few feature numbers each, of the sample's texts and sentences.
     rows = (
-        sample.mapInArrow(vectors, "kind int, ids array<int>, swapped array<int>, times long")
-        .groupBy("kind", "ids", "swapped")
+        sample.mapInArrow(vectors, "kind int, fold int, ids array<int>, swapped array<int>, times long")
+        .groupBy("kind", "fold", "ids", "swapped")
         .agg(F.sum("times").alias("times"))
         .toArrow()
         .to_pylist()
     )
     weights, bias = _train(rows, len(names), penalty)
-    return Model(dict(zip(names, weights.tolist())), bias)
+    share = min(MOST_PRIOR, n_toxic / (n_toxic + n_clean))
+    return Model(dict(zip(names, weights.tolist())), min(bias - _best_cut(rows, len(names), penalty), _logit(share)))
+
+
+def _logit(share: float) -> float:
+    return math.log(share / (1 - share))
+
+
+def _best_cut(rows: list[dict], n_features: int, penalty: float) -> float:
+    """The logit that parts toxic from clean texts with fewest errors, the rarer class
+    counting as much as the other, when each fold is scored by a fit of the others; in
+    the middle of the widest of equally good gaps. 0 if a fold leaves a class empty."""
+    texts = [r for r in rows if r["kind"] >= 0]
+    found: list[tuple[float, int, int]] = []
+    for part in sorted({r["fold"] for r in texts}):
+        others = [r for r in rows if r["fold"] != part]
+        if len({r["kind"] for r in others if r["kind"] >= 0}) < 2:
+            return 0.0
+        weights, bias = _train(others, n_features, penalty)
+        found += [(bias + float(weights[r["ids"]].sum()), r["kind"], r["times"]) for r in texts if r["fold"] == part]
+    found.sort()
+    logits, kinds, times = (np.array(c, float) for c in zip(*found))
+    n_toxic, n_clean = (times * (kinds == 1)).sum(), (times * (kinds == 0)).sum()
+    missed = np.cumsum(times * (kinds == 1)) / n_toxic
+    spared = np.cumsum(times * (kinds == 0)) / n_clean
+    gaps = np.append(logits[1:] - logits[:-1], 0.0)
+    errors = np.where(gaps > 0, missed - spared, np.inf)  # a cut above each text
+    if not np.isfinite(errors).any():
+        return 0.0
+    best = np.flatnonzero(errors <= errors.min() + 1e-12)
+    at = best[np.argmax(gaps[best])]
+    return float(logits[at] + gaps[at] / 2)
 
 
 def _train(rows: list[dict], n_features: int, penalty: float) -> tuple[np.ndarray, float]:

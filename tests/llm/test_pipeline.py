@@ -27,6 +27,13 @@ def test_columns(stages):
     assert all(tuple(s.columns) == cp.COLUMNS for s in stages[:5])
 
 
+def test_most_documents_stay(stages):
+    """No stage compares empty frames: a tenth is toxic or a copy at most."""
+    n = [s.count() for s in stages]
+    assert n[0] == 200 and n[1] >= 180 and n[2] >= 0.8 * n[1]
+    assert n[3] == n[2] and n[4] >= 0.5 * n[3] and n[5] == n[4]
+
+
 def test_toxic_documents_go(spark, sf_dir, stages):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(stages[0], labels)
