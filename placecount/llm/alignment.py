@@ -8,8 +8,14 @@ with the token-group incidence matrices, the product holds the shared-group link
 
 Matrices are in compressed sparse rows, built by hand from token lengths, and are
 multiplied row by row (Gustavson, 1978): row i of a product is the sum of those rows of
-the right factor that row i of the left one names. The texts of a block are one matrix,
-block-diagonal by text. As the bytes of a token are consecutive, the rows come sorted.
+the right factor that row i of the left one names. As the bytes of a token are
+consecutive, the rows come sorted.
+
+Where a space parts two words, tokens of both end. So texts are cut there into runs, and
+tokens, groups and links of a text are those of its runs, side by side. The different
+runs of a block are one matrix, block-diagonal by run, and a run met before is not
+aligned again. One text of each block is compared with what the libraries make of it as
+a whole; a difference is an error.
 
 How often two ids are linked is counted over all texts: each text adds one for each pair
 that it holds. Texts are encoded once; their pairs are written with how often each
@@ -27,9 +33,11 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 from os import PathLike
 
 import numpy as np
@@ -43,6 +51,12 @@ from placecount.session import durable
 
 SPACE = "▁"
 HOT_PAIRS = 2_000_000
+CACHE_RUNS = 400_000
+LEARNT_AT_ONCE = 20_000
+# A space that may not part two words, and those that do.
+_ODD_SPACE = re.compile(r" (?![!-~\w])")
+_CUT = re.compile(r"(?<=[^ ])(?= [!-~\w])")
+_WORD_STARTS = frozenset(map(chr, range(0x21, 0x7F)))
 _SHIFT = 32
 _TOTALS = "n_a long, n_b long, n_groups long, n_links long, n_shared long, groups_sha256 string"
 _PAIRS = "a array<int>, b array<int>, times array<int>"
@@ -118,11 +132,14 @@ class Tokenizers:
         self.a = Tokenizer.from_file(os.fspath(byte_level_file))
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=os.fspath(pieces_file))
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        if any(SPACE in p.lstrip(SPACE) for i, p in enumerate(pieces) if not self.b.is_control(i) and not self.b.is_unknown(i)):
+            raise ValueError("a piece goes on past a space mark; texts cannot be cut into runs")
         entries = {i: entry for entry, i in self.a.get_vocab(with_added_tokens=True).items()}
         self.a_bytes = [_byte_level(entries.get(i, "")) for i in range(max(entries) + 1)]
         self.b_bytes = [
             bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode()
-            for i, piece in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
+            for i, piece in enumerate(pieces)
         ]
         self.a_length = np.array([len(x) for x in self.a_bytes])
         self.b_length = np.array([len(x) for x in self.b_bytes])
@@ -133,21 +150,25 @@ class Tokenizers:
             object,
         )
 
-    def encode(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of space + text by A, and of text by B, which adds the space; none for a
-        text that either does not give back."""
-        found = self.a.encode_batch_fast([f" {t}" if t else "" for t in texts], add_special_tokens=False)
-        a = [e.ids for e in found]
-        b = self.b.encode([t or "" for t in texts], num_threads=1)
-        for i, text in enumerate(texts):
-            whole = f" {text}".encode() if text else None
-            if (
-                b"".join(map(self.a_bytes.__getitem__, a[i])) != whole
-                or b"".join(map(self.b_bytes.__getitem__, b[i])) != whole
-            ):
-                a[i], b[i] = [], []
+    def encode(self, wholes: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids by A of texts that begin with a space, and by B, which adds it itself; none
+        for a text that either does not give back."""
+        a = [e.ids for e in self.a.encode_batch_fast(wholes, add_special_tokens=False)]
+        b = self.b.encode([whole[1:] for whole in wholes], num_threads=1)
+        data = [whole.encode() for whole in wholes]
+        if not (self._gives_back(self.a_bytes, a, data) and self._gives_back(self.b_bytes, b, data)):
+            for i, whole in enumerate(data):
+                if not (self._gives_back(self.a_bytes, a[i : i + 1], [whole]) and self._gives_back(self.b_bytes, b[i : i + 1], [whole])):
+                    a[i], b[i] = [], []
         return a, b
 
+    @staticmethod
+    def _gives_back(bytes_of: list[bytes], ids: list[list[int]], data: list[bytes]) -> bool:
+        """Whether the tokens of every text are its bytes."""
+        found = list(map(bytes_of.__getitem__, chain.from_iterable(ids)))
+        ends = np.cumsum([0, *map(len, found)])[np.cumsum([len(x) for x in ids])]
+        return b"".join(found) == b"".join(data) and bool((ends == np.cumsum([len(d) for d in data])).all())
+
 
 def _byte_level(entry: str) -> bytes:
     """Bytes of a byte-level entry: printable Latin-1 stands for itself, the other bytes
@@ -182,8 +203,9 @@ class Aligned:
     links: Csr
 
     @classmethod
-    def of(cls, tokenizers: Tokenizers, texts: list[str | None]) -> Aligned:
-        a, b = tokenizers.encode(texts)
+    def of(cls, tokenizers: Tokenizers, wholes: list[str]) -> Aligned:
+        """Of texts that begin with a space."""
+        a, b = tokenizers.encode(wholes)
 
         def flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
             sizes = [len(x) for x in ids]
@@ -193,7 +215,7 @@ class Aligned:
         (a, a_text), (b, b_text) = flat(a), flat(b)
         over_bytes, b_over_bytes = Csr.of_lengths(tokenizers.a_length[a]), Csr.of_lengths(tokenizers.b_length[b])
         a_end, b_end = over_bytes.starts[1:], b_over_bytes.starts[1:]
-        ends = np.intersect1d(a_end, b_end)
+        ends = np.intersect1d(a_end, b_end, assume_unique=True)
         a_group, b_group = np.searchsorted(ends, a_end), np.searchsorted(ends, b_end)
         return cls(
             a, b, a_text, b_text, a_group, b_group,
@@ -229,39 +251,114 @@ class Aligned:
         return ["".join(signs[i:j])[:-1] for i, j in zip([0, *stops], stops)]
 
 
-def align_block(tokenizers: Tokenizers, texts: list[str | None]) -> pa.RecordBatch:
+def runs_of(text: str | None) -> list[str]:
+    """Space + ``text``, cut before spaces that part two words. There tokens of A and of B
+    begin, as A takes such a space together with the word, and no piece of B has a space
+    behind another sign. Spaces beside white space or rare signs are left alone."""
+    if not text:
+        return []
+    if text[0] in _WORD_STARTS and not _ODD_SPACE.search(text):
+        return [f" {word}" for word in text.split(" ")]
+    return _CUT.split(f" {text}")
+
+
+class Runs:
+    """Runs met so far: their tokens' totals, linked ids and groups."""
+
+    def __init__(self, tokenizers: Tokenizers):
+        self.tokenizers = tokenizers
+        self.width = len(tokenizers.b_bytes)  # a pair of ids is one number: a * width + b
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.totals = np.zeros((0, 5), np.int64)
+        self.pairs, self.starts = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def learn(self, texts: list[list[str]]) -> None:
+        if len(self.number) > CACHE_RUNS:
+            self._clear()
+        new = list(set().union(*texts) - self.number.keys())
+        for i in range(0, len(new), LEARNT_AT_ONCE):
+            self._add(new[i : i + LEARNT_AT_ONCE])
+
+    def _add(self, new: list[str]) -> None:
+        n, found = len(new), Aligned.of(self.tokenizers, new)
+        row = found.links.rows()
+        self.number.update(zip(new, range(len(self.number), len(self.number) + n)))
+        self.groups += found.described(self.tokenizers, n)
+        by_run = (found.a_text, found.b_text, found.group_text, found.a_text[row])
+        totals = [np.bincount(of, minlength=n) for of in by_run] + [np.bincount(found.a_text, found.shared_counts(), n)]
+        self.totals = np.concatenate([self.totals, np.column_stack(totals).astype(np.int64)])
+        self.pairs = np.concatenate([self.pairs, found.a[row] * self.width + found.b[found.links.columns]])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(totals[3])])
+
+    def check(self, text: str) -> None:
+        """Compare the runs of one text with the libraries' tokens of the whole."""
+        whole = Aligned.of(self.tokenizers, [f" {text}"])
+        if ";".join(self.groups[self.number[run]] for run in runs_of(text)) != whole.described(self.tokenizers, 1)[0]:
+            raise ValueError("runs of a text have other tokens than the whole")
+
+
+@lru_cache(maxsize=1)
+def runs_with(byte_level_file: str | PathLike, pieces_file: str | PathLike) -> Runs:
+    """One set of runs for all tasks of a worker process."""
+    return Runs(tokenizers_of(byte_level_file, pieces_file))
+
+
+def _spread(starts: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all entries of the rows ``items``, and how many each has."""
+    sizes = starts[items + 1] - starts[items]
+    ends = np.cumsum(sizes)
+    n = int(ends[-1]) if len(ends) else 0
+    return np.arange(n) - np.repeat(ends - sizes - starts[items], sizes), sizes
+
+
+def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their weights."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(weights[order], first) if len(first) else np.zeros(0, np.int64)
+
+
+def align_block(known: Runs, texts: list[str | None]) -> pa.RecordBatch:
     """Totals of each text, and its linked id pairs with how often each occurs."""
     n = len(texts)
-    found = Aligned.of(tokenizers, texts)
-    links = found.links
-    row = links.rows()
-    # Pairs of ids by text: sorted, then counted.
-    text = found.a_text[row]
-    pair = found.a[row] << _SHIFT | found.b[links.columns]
-    order = np.lexsort((pair, text))
-    text, pair = text[order], pair[order]
-    first = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (text[1:] != text[:-1])])) if len(pair) else np.zeros(0, np.int64)
-    times = np.diff(np.append(first, len(pair)))
-    pair, of = pair[first], text[first]
+    cut = [runs_of(text) for text in texts]
+    known.learn(cut)
+    number = np.fromiter(map(known.number.__getitem__, chain.from_iterable(cut)), np.int64)
+    of = np.repeat(np.arange(n), [len(runs) for runs in cut])
+    # A run without tokens is one that is not given back, and with it its whole text.
+    lost = np.zeros(n, bool)
+    lost[of[known.totals[number, 0] == 0]] = True
+    number, of = number[~lost[of]], of[~lost[of]]
+    sound = [text for text, gone in zip(texts, lost) if text and not gone]
+    if sound:
+        known.check(min(sound, key=len))
+    totals = [np.bincount(of, known.totals[number, c], n).astype(np.int64) for c in range(5)]
+    stops = np.cumsum(np.bincount(of, minlength=n)).tolist()
+    groups = list(map(known.groups.__getitem__, number.tolist()))
+    described = [";".join(groups[i:j]) for i, j in zip([0, *stops], stops)]
+    # Runs of a text that occur again are expanded once.
+    runs = len(known.number)
+    key, times = _summed(of * runs + number, np.ones(len(of), np.int64))
+    at, sizes = _spread(known.starts, key % max(runs, 1))
+    pairs = len(known.tokenizers.a_bytes) * known.width
+    key, times = _summed(np.repeat(key // max(runs, 1), sizes) * pairs + known.pairs[at], np.repeat(times, sizes))
+    of, pair = key // pairs, key % pairs
     offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))]), pa.int32())
 
-    def counts(texts_of: np.ndarray, weights: np.ndarray | None = None) -> pa.Array:
-        return pa.array(np.bincount(texts_of, weights, n).astype(np.int64))
-
     def lists(values: np.ndarray) -> pa.Array:
         return pa.ListArray.from_arrays(offsets, pa.array(values.astype(np.int32)))
 
-    described = found.described(tokenizers, n)
     return pa.RecordBatch.from_arrays(
         [
-            counts(found.a_text),
-            counts(found.b_text),
-            counts(found.group_text),
-            counts(text),
-            counts(found.a_text, found.shared_counts()),
+            *map(pa.array, totals),
             pa.array([hashlib.sha256(d.encode()).hexdigest() if d else "" for d in described]),
-            lists(pair >> _SHIFT),
-            lists(pair & ((1 << _SHIFT) - 1)),
+            lists(pair // known.width),
+            lists(pair % known.width),
             lists(times),
         ],
         names=[c.split()[0] for c in f"{_TOTALS}, {_PAIRS}".split(", ")],
@@ -275,11 +372,11 @@ def aligned_pairs(docs: DataFrame, byte_level_file: str | PathLike, pieces_file:
     schema = StructType([*docs.select(*keep).schema, *StructType.fromDDL(f"{_TOTALS}, {_PAIRS}")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizers = tokenizers_of(byte_level_file, pieces_file)
+        known = runs_with(byte_level_file, pieces_file)
         for batch in batches:
             column = batch.column(len(keep))
             for start, stop in blocks(column):
-                found = align_block(tokenizers, column.slice(start, stop - start).to_pylist())
+                found = align_block(known, column.slice(start, stop - start).to_pylist())
                 kept = [batch.column(i).slice(start, stop - start) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*kept, *found.columns], schema=_arrow(schema, kept, found))
 

@@ -55,7 +55,7 @@ def test_products_agree_with_dense_ones(seed):
 
 def test_links_share_bytes_and_groups_share_tokens():
     both = alignment.tokenizers_of(*FILES)
-    found = alignment.Aligned.of(both, ["unbelievable tokenization", None, "東京 x"])
+    found = alignment.Aligned.of(both, [" unbelievable tokenization", " ", " 東京 x"])
     covered = np.bincount(found.links.rows(), found.links.values, len(found.a))
     assert (covered == both.a_length[found.a]).all()
     shared = found.shared()
@@ -82,6 +82,29 @@ def test_odd_documents(spark, hot_pairs):
     assert alignment.align(frame.where("false"), *FILES).collect() == []
 
 
+def test_runs_are_aligned_alone():
+    import random
+
+    r = random.Random(4)
+    parts = [" ", "  ", "\n", "\t", "a", "word", "Ü", "é", "9", "'s", "'", ".", "\u00a0", "\u2003", "\u180e", "\u200b", "東", "\U0001F600", "_", "\x1c", "\x85"]
+    known = alignment.Runs(alignment.tokenizers_of(*FILES))
+    texts = ["".join(r.choices(parts, k=r.randrange(1, 30))) for _ in range(3_000)]
+    known.learn([alignment.runs_of(t) for t in texts])
+    for text in texts:
+        assert "".join(alignment.runs_of(text)) == f" {text}"
+        if all(known.totals[known.number[run], 0] for run in alignment.runs_of(text)):
+            known.check(text)
+
+
+def test_forgotten_runs(monkeypatch):
+    monkeypatch.setattr(alignment, "CACHE_RUNS", 3)
+    known = alignment.Runs(alignment.tokenizers_of(*FILES))
+    texts = ["a b c d e f", None, "a b", "", "g h"]
+    first = alignment.align_block(known, texts)
+    assert alignment.align_block(known, texts).equals(first)
+    assert len(known.number) == 8
+
+
 def test_hot_pairs_are_bounded():
     assert alignment.least_hot(0) == alignment.least_hot(10) == 1
     counts = [50, 30, 10, 5, 3, 1, 1]
