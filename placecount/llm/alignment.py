@@ -51,11 +51,14 @@ from placecount.session import durable
 
 SPACE = "▁"
 HOT_PAIRS = 2_000_000
-CACHE_RUNS = 400_000
-LEARNT_AT_ONCE = 20_000
+CACHE_RUNS = 150_000
+BLOCK_BYTES = 1 << 19
+LEARNT_AT_ONCE = 10_000
+JOINED = 256
 # A space that may not part two words, and those that do.
 _ODD_SPACE = re.compile(r" (?![!-~\w])")
 _CUT = re.compile(r"(?<=[^ ])(?= [!-~\w])")
+_JOINS = re.compile(r" [!-~\w]")
 _WORD_STARTS = frozenset(map(chr, range(0x21, 0x7F)))
 _SHIFT = 32
 _TOTALS = "n_a long, n_b long, n_groups long, n_links long, n_shared long, groups_sha256 string"
@@ -150,17 +153,44 @@ class Tokenizers:
             object,
         )
 
-    def encode(self, wholes: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids by A of texts that begin with a space, and by B, which adds it itself; none
-        for a text that either does not give back."""
+    def encode(self, wholes: list[str]) -> tuple[list[list[int]], list[list[int]], list[bytes]]:
+        """Ids by A of texts that begin with a space, by B, which adds it itself, and bytes;
+        nothing for a text that either does not give back."""
         a = [e.ids for e in self.a.encode_batch_fast(wholes, add_special_tokens=False)]
         b = self.b.encode([whole[1:] for whole in wholes], num_threads=1)
         data = [whole.encode() for whole in wholes]
         if not (self._gives_back(self.a_bytes, a, data) and self._gives_back(self.b_bytes, b, data)):
             for i, whole in enumerate(data):
                 if not (self._gives_back(self.a_bytes, a[i : i + 1], [whole]) and self._gives_back(self.b_bytes, b[i : i + 1], [whole])):
-                    a[i], b[i] = [], []
-        return a, b
+                    a[i], b[i], data[i] = [], [], b""
+        return a, b, data
+
+    def encode_joined(self, wholes: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids by A, all by B, and the bytes of each text, 0 if it has no tokens. Texts
+        that may follow each other are encoded as one, which takes less time."""
+        parts: list[list[str]] = []
+        open_ = False
+        for whole in wholes:
+            fits = whole[-1] != " " and _JOINS.match(whole) is not None
+            if fits and open_ and len(parts[-1]) < JOINED:
+                parts[-1].append(whole)
+            else:
+                parts.append([whole])
+            open_ = fits
+        a, b, data = self.encode(["".join(part) for part in parts])
+        a_all, b_all, sizes = [], [], []
+        for part, ids, others, found in zip(parts, a, b, data):
+            if not found and len(part) > 1:  # at least one of them has no tokens
+                each = self.encode(part)
+                ids, others = ([i for x in lists for i in x] for lists in each[:2])
+                sizes += map(len, each[2])
+            elif found and len(part) > 1:
+                sizes += [len(whole.encode()) for whole in part]
+            else:
+                sizes.append(len(found))
+            a_all += ids
+            b_all += others
+        return np.array(a_all, np.int64), np.array(b_all, np.int64), np.array(sizes, np.int64)
 
     @staticmethod
     def _gives_back(bytes_of: list[bytes], ids: list[list[int]], data: list[bytes]) -> bool:
@@ -205,17 +235,14 @@ class Aligned:
     @classmethod
     def of(cls, tokenizers: Tokenizers, wholes: list[str]) -> Aligned:
         """Of texts that begin with a space."""
-        a, b = tokenizers.encode(wholes)
-
-        def flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-            sizes = [len(x) for x in ids]
-            joined = np.array([i for x in ids for i in x], np.int64)
-            return joined, np.repeat(np.arange(len(ids)), sizes)
-
-        (a, a_text), (b, b_text) = flat(a), flat(b)
+        a, b, sizes = tokenizers.encode_joined(wholes)
         over_bytes, b_over_bytes = Csr.of_lengths(tokenizers.a_length[a]), Csr.of_lengths(tokenizers.b_length[b])
         a_end, b_end = over_bytes.starts[1:], b_over_bytes.starts[1:]
+        stops = np.cumsum(sizes)  # a text without tokens stops where the one before it does
+        a_text, b_text = np.searchsorted(stops, a_end), np.searchsorted(stops, b_end)
         ends = np.intersect1d(a_end, b_end, assume_unique=True)
+        if not np.isin(stops[sizes > 0], ends, assume_unique=True).all():
+            raise ValueError("a token goes on past the end of a text")
         a_group, b_group = np.searchsorted(ends, a_end), np.searchsorted(ends, b_end)
         return cls(
             a, b, a_text, b_text, a_group, b_group,
@@ -268,17 +295,26 @@ class Runs:
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
         self.width = len(tokenizers.b_bytes)  # a pair of ids is one number: a * width + b
-        self._clear()
-
-    def _clear(self) -> None:
         self.number: dict[str, int] = {}
         self.groups: list[str] = []
         self.totals = np.zeros((0, 5), np.int64)
         self.pairs, self.starts = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.met = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the runs met most, half as many as there may be; those met once go."""
+        kept = np.argsort(-self.met, kind="stable")[: CACHE_RUNS // 2]
+        kept = np.sort(kept[self.met[kept] > 1])
+        names = list(self.number)
+        at, sizes = _spread(self.starts, kept)
+        self.number = {names[i]: j for j, i in enumerate(kept.tolist())}
+        self.groups = [self.groups[i] for i in kept.tolist()]
+        self.totals, self.met, self.pairs = self.totals[kept], self.met[kept] // 2, self.pairs[at]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
 
     def learn(self, texts: list[list[str]]) -> None:
         if len(self.number) > CACHE_RUNS:
-            self._clear()
+            self._forget()
         new = list(set().union(*texts) - self.number.keys())
         for i in range(0, len(new), LEARNT_AT_ONCE):
             self._add(new[i : i + LEARNT_AT_ONCE])
@@ -290,6 +326,7 @@ class Runs:
         self.groups += found.described(self.tokenizers, n)
         by_run = (found.a_text, found.b_text, found.group_text, found.a_text[row])
         totals = [np.bincount(of, minlength=n) for of in by_run] + [np.bincount(found.a_text, found.shared_counts(), n)]
+        self.met = np.concatenate([self.met, np.zeros(n, np.int64)])
         self.totals = np.concatenate([self.totals, np.column_stack(totals).astype(np.int64)])
         self.pairs = np.concatenate([self.pairs, found.a[row] * self.width + found.b[found.links.columns]])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(totals[3])])
@@ -329,6 +366,7 @@ def align_block(known: Runs, texts: list[str | None]) -> pa.RecordBatch:
     cut = [runs_of(text) for text in texts]
     known.learn(cut)
     number = np.fromiter(map(known.number.__getitem__, chain.from_iterable(cut)), np.int64)
+    known.met += np.bincount(number, minlength=len(known.number))
     of = np.repeat(np.arange(n), [len(runs) for runs in cut])
     # A run without tokens is one that is not given back, and with it its whole text.
     lost = np.zeros(n, bool)
@@ -375,7 +413,7 @@ def aligned_pairs(docs: DataFrame, byte_level_file: str | PathLike, pieces_file:
         known = runs_with(byte_level_file, pieces_file)
         for batch in batches:
             column = batch.column(len(keep))
-            for start, stop in blocks(column):
+            for start, stop in blocks(column, BLOCK_BYTES):
                 found = align_block(known, column.slice(start, stop - start).to_pylist())
                 kept = [batch.column(i).slice(start, stop - start) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*kept, *found.columns], schema=_arrow(schema, kept, found))

@@ -105,10 +105,13 @@ def alignment_rows(docs, a_file, b_file):
             a, b, a_bytes, b_bytes = [], [], [], []
         ra, rb = ranges(a_bytes), ranges(b_bytes)
         cuts = sorted({e for _, e in ra} & {e for _, e in rb})
-        groups, s = [], 0
+        left, right, groups = list(zip(a, ra)), list(zip(b, rb)), []
+        left.reverse(), right.reverse()
         for cut in cuts:
-            groups.append(([i for i, (x, e) in zip(a, ra) if s < e <= cut], [i for i, (x, e) in zip(b, rb) if s < e <= cut]))
-            s = cut
+            groups.append(([], []))
+            for tokens, group in zip((left, right), groups[-1]):
+                while tokens and tokens[-1][1][1] <= cut:
+                    group.append(tokens.pop()[0])
         links, j0 = [], 0
         for i, (s1, e1) in zip(a, ra):
             while j0 < len(rb) and rb[j0][1] <= s1:

@@ -102,7 +102,9 @@ def test_forgotten_runs(monkeypatch):
     texts = ["a b c d e f", None, "a b", "", "g h"]
     first = alignment.align_block(known, texts)
     assert alignment.align_block(known, texts).equals(first)
-    assert len(known.number) == 8
+    assert len(known.number) <= 8
+    for text in filter(None, texts):
+        known.check(text)
 
 
 def test_hot_pairs_are_bounded():
