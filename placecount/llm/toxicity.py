@@ -36,6 +36,7 @@ PREFIXES = (4, 5, 6)
 PENALTY = 4.0
 L2 = 1e-4
 STEPS = 800
+STEPS_OF_FOLDS = 200  # enough to place the cut between the classes
 MOST_PRIOR = 0.25  # highest score of a text without evidence, however many labels say toxic
 PRIOR = 0.1  # that score where no row of one of the classes is labelled
 _FLUSH = 200_000
@@ -261,7 +262,7 @@ def _best_cut(rows: list[dict], n_features: int, penalty: float) -> float:
         others = [r for r in rows if r["fold"] != part]
         if len({r["kind"] for r in others if r["kind"] >= 0}) < 2:
             return 0.0
-        weights, bias = _train(others, n_features, penalty)
+        weights, bias = _train(others, n_features, penalty, STEPS_OF_FOLDS)
         found += [(bias + float(weights[r["ids"]].sum()), r["kind"], r["times"]) for r in texts if r["fold"] == part]
     found.sort()
     logits, kinds, times = (np.array(c, float) for c in zip(*found))
@@ -277,7 +278,7 @@ def _best_cut(rows: list[dict], n_features: int, penalty: float) -> float:
     return float(logits[at] + gaps[at] / 2)
 
 
-def _train(rows: list[dict], n_features: int, penalty: float) -> tuple[np.ndarray, float]:
+def _train(rows: list[dict], n_features: int, penalty: float, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Minimise log loss, L2 and the counterfactual penalty by Adam over all rows. Both
     classes weigh the same, as their numbers only tell what was labelled."""
     texts = sorted((r["kind"], r["ids"], r["times"]) for r in rows if r["kind"] >= 0)
@@ -294,7 +295,7 @@ def _train(rows: list[dict], n_features: int, penalty: float) -> tuple[np.ndarra
     weight = times * np.where(labels == 1, 0.5 / max(1, times[labels == 1].sum()), 0.5 / max(1, times[labels == 0].sum()))
     theta = np.zeros(n_features + 1)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    for step in range(1, STEPS + 1):
+    for step in range(1, steps + 1):
         w = theta[:-1]
         logit = theta[-1] + np.bincount(row, w[col], len(texts))
         error = (_sigmoid(logit) - labels) * weight
