@@ -185,6 +185,25 @@ def _reloaded_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.Predictor.load(root, "v1").predict(_requests(spark, sf_dir))
 
 
+def _condition_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the fitted model expects of each condition over the rows it learnt from."""
+    obs = events(spark, sf_dir)
+    return models.condition_totals(models.fit_condition(obs), obs)
+
+
+def _totals_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where rows lack a weather, a count or an hour and so are no part of the fit."""
+    kind = F.col("condition")
+    obs = events(spark, sf_dir).withColumns(
+        {
+            "weather": F.when(F.col("hour") != 3, F.col("weather")),
+            "v": F.when(~((kind == "click") & (F.col("dow") == 2)), F.col("v")),
+            "hour": F.when(F.col("place") != "7", F.col("hour")),
+        }
+    )
+    return models.condition_totals(models.fit_condition(obs), obs.dropna())
+
+
 def _count_part(scored: DataFrame) -> DataFrame:
     """What scoring says of the count, without the condition predicted from it."""
     return scored.select("place", "obs_date", "hour", "dow", "predicted_v")
@@ -289,6 +308,8 @@ def queries() -> dict[str, Query]:
         # Models
         "place_index": lambda s, d: dist.index_of_places(events(s, d)),
         "predicted_counts": _predicted_counts,
+        "condition_totals": _condition_totals,
+        "condition_totals_with_holes": _totals_with_holes,
         "predictions": _predictions,
         "prediction_text": lambda s, d: models.prediction_text(_predictions(s, d)),
         "prediction_text_count": _count_text,

@@ -380,6 +380,9 @@ FROM obs GROUP BY place""",
         "raw_stream_daily": f"{raw} {_DAILY_N}",
         "raw_stream_latest": f"{_L1_RAW} SELECT place, v FROM latest",
         "predicted_counts": counts,
+        "condition_totals": f"{ev} SELECT condition, {_N} FROM obs GROUP BY condition",
+        "condition_totals_with_holes": f"""{ev} SELECT condition, {_N} FROM obs
+WHERE hour <> 3 AND NOT (condition = 'click' AND dow = 2) AND place <> '7' GROUP BY condition""",
         "predictions_count": counts,
         "reloaded_predictions_count": counts,
         "stream_scores_count": f"{ev}{_COUNT_MODEL} {_predicted('arriving')}",

@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placecount.functions.expressions import event_order, slot_instant, utc_day
 from placecount.operators.filters import valid_rows
-from placecount.operators.models import predict_condition
+from placecount.operators.models import ConditionModel, CountModel, predict_condition
 from placecount.session import shared_dir
 
 LATENESS = "1 hour"
@@ -106,7 +105,7 @@ def run_totals(stream: DataFrame, grain: str = "1 day", lateness: str = LATENESS
 
 
 def score_stream(
-    stream: DataFrame, count_model: PipelineModel, condition_model: PipelineModel
+    stream: DataFrame, count_model: CountModel, condition_model: ConditionModel
 ) -> DataFrame:
     """Predicted count and condition of each arriving request; no state."""
     return predict_condition(count_model, condition_model, stream)
