@@ -55,6 +55,9 @@ CACHE_RUNS = 150_000
 BLOCK_BYTES = 1 << 19
 LEARNT_AT_ONCE = 10_000
 JOINED = 256
+# Pairs of a text are kept in lists of this length, so that many texts together, or one
+# long one, come to a task in small batches.
+CHUNK_PAIRS = 64
 # A space that may not part two words, and those that do.
 _ODD_SPACE = re.compile(r" (?![!-~\w])")
 _CUT = re.compile(r"(?<=[^ ])(?= [!-~\w])")
@@ -62,7 +65,7 @@ _JOINS = re.compile(r" [!-~\w]")
 _WORD_STARTS = frozenset(map(chr, range(0x21, 0x7F)))
 _SHIFT = 32
 _TOTALS = "n_a long, n_b long, n_groups long, n_links long, n_shared long, groups_sha256 string"
-_PAIRS = "a array<int>, b array<int>, times array<int>"
+_PAIRS = "chunks array<struct<a:array<int>,b:array<int>,times:array<int>>>"
 
 
 @dataclass(frozen=True)
@@ -386,26 +389,31 @@ def align_block(known: Runs, texts: list[str | None]) -> pa.RecordBatch:
     pairs = len(known.tokenizers.a_bytes) * known.width
     key, times = _summed(np.repeat(key // max(runs, 1), sizes) * pairs + known.pairs[at], np.repeat(times, sizes))
     of, pair = key // pairs, key % pairs
-    offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))]), pa.int32())
-
-    def lists(values: np.ndarray) -> pa.Array:
-        return pa.ListArray.from_arrays(offsets, pa.array(values.astype(np.int32)))
-
     return pa.RecordBatch.from_arrays(
         [
             *map(pa.array, totals),
             pa.array([hashlib.sha256(d.encode()).hexdigest() if d else "" for d in described]),
-            lists(pair // known.width),
-            lists(pair % known.width),
-            lists(times),
+            _chunks(np.bincount(of, minlength=n), pair // known.width, pair % known.width, times),
         ],
         names=[c.split()[0] for c in f"{_TOTALS}, {_PAIRS}".split(", ")],
     )
 
 
+def _chunks(sizes: np.ndarray, *columns: np.ndarray) -> pa.Array:
+    """Lists of lists: the next ``sizes`` entries of the columns, ``CHUNK_PAIRS`` at a time."""
+    per_text = -(-sizes // CHUNK_PAIRS)
+    text = np.repeat(np.arange(len(sizes)), per_text)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+    starts = np.repeat(np.cumsum(sizes) - sizes, per_text) + number * CHUNK_PAIRS
+    inner = pa.array(np.append(starts, int(sizes.sum())), pa.int32())
+    lists = [pa.ListArray.from_arrays(inner, pa.array(c.astype(np.int32))) for c in columns]
+    outer = pa.array(np.concatenate([[0], np.cumsum(per_text)]), pa.int32())
+    return pa.ListArray.from_arrays(outer, pa.StructArray.from_arrays(lists, names=["a", "b", "times"]))
+
+
 def aligned_pairs(docs: DataFrame, byte_level_file: str | PathLike, pieces_file: str | PathLike, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns of ``docs`` with n_a, n_b, n_groups, n_links, n_shared (shared-group
-    links), groups_sha256, and the linked ids ``a`` and ``b`` with ``times`` beside them."""
+    links), groups_sha256, and in ``chunks`` the linked ids ``a`` and ``b`` with ``times`` beside them."""
     text = spare(list(keep), "text")
     schema = StructType([*docs.select(*keep).schema, *StructType.fromDDL(f"{_TOTALS}, {_PAIRS}")])
 
@@ -446,7 +454,7 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
             yield from _rows(_merged(held))
 
     counted = durable(
-        pairs.select("a", "b").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("count"))
+        pairs.select(F.explode("chunks").alias("c")).select("c.a", "c.b").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("count"))
     )
     a = F.shiftright("pair", _SHIFT)
     # One row for each id of A.
@@ -508,52 +516,54 @@ def align(
     total = table.agg(F.sum("count")).first()[0] or 0
     least = least_hot(int(total), hot_pairs)
     sent = docs.sparkSession.sparkContext.broadcast(Hot.of(table, least))
-    columns = ["_row", *keep, *(c.split()[0] for c in _TOTALS.split(", "))]
-    schema = StructType([*written.select(*columns).schema, *StructType.fromDDL("best_hot long, sum_hot long, pairs array<long>, times array<int>")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            of = np.repeat(np.arange(n), np.asarray(batch.column("a").value_lengths()))
+            rows = batch.column("_row").to_numpy()
+            first = np.flatnonzero(np.diff(rows, prepend=-1))
+            of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(rows))))
+            of = np.repeat(of, np.asarray(batch.column("a").value_lengths()))
             a, b, times = (batch.column(c).flatten().to_numpy().astype(np.int64) for c in ("a", "b", "times"))
-            pairs = a << _SHIFT | b
-            hot = sent.value
+            pairs, n, hot = a << _SHIFT | b, len(first), sent.value
             at = hot.find(pairs)
             known = at >= 0
             place, weight, owner = at[known], times[known], of[known]
             best, sums = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            np.add.at(best, owner, weight * hot.best[place] if len(hot.pairs) else weight)
-            np.add.at(sums, owner, weight * hot.counts[place] if len(hot.pairs) else weight)
+            if len(place):
+                np.add.at(best, owner, weight * hot.best[place])
+                np.add.at(sums, owner, weight * hot.counts[place])
             offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(of[~known], minlength=n))]), pa.int32())
             rare = [
                 pa.ListArray.from_arrays(offsets, pa.array(values[~known].astype(kind)))
                 for values, kind in ((pairs, np.int64), (times, np.int32))
             ]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), pa.array(best), pa.array(sums), *rare],
-                names=[*columns, "best_hot", "sum_hot", "pairs", "times"],
+                [pa.array(rows[first]), pa.array(best), pa.array(sums), *rare],
+                names=["_row", "best", "sum", "pairs", "times"],
             )
 
-    scored = written.mapInArrow(run, schema)
+    schema = "_row long, best long, sum long, pairs array<long>, times array<int>"
+    chunks = written.select("_row", F.explode("chunks").alias("c")).select("_row", "c.*")
+    scored = durable(chunks.mapInArrow(run, schema))
     rare = (
         scored.select("_row", F.explode(F.arrays_zip("pairs", "times")).alias("x"))
         .select("_row", F.col("x.pairs").alias("pair"), F.col("x.times").alias("times"))
         .join(table.where(F.col("count") < least), "pair")
-        .groupBy("_row")
-        .agg(
-            F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("best_rare"),
-            F.sum(F.col("times") * F.col("count")).alias("sum_rare"),
+        .select(
+            "_row",
+            F.when(F.col("best"), F.col("times")).otherwise(0).cast("long").alias("best"),
+            (F.col("times") * F.col("count")).alias("sum"),
         )
     )
-    zero = F.lit(0).cast("long")
-    return scored.join(rare, "_row", "left").select(
+    summed = scored.select("_row", "best", "sum").unionByName(rare).groupBy("_row").agg(F.sum("best").alias("_best"), F.sum("sum").alias("_sum"))
+    return written.join(summed, "_row", "left").select(
         *keep,
         "n_a",
         "n_b",
         "n_groups",
         "n_links",
-        (F.col("best_hot") + F.coalesce("best_rare", zero)).alias("n_best"),
-        (F.col("sum_hot") + F.coalesce("sum_rare", zero)).alias("count_sum"),
+        F.coalesce("_best", F.lit(0).cast("long")).alias("n_best"),
+        F.coalesce("_sum", F.lit(0).cast("long")).alias("count_sum"),
         "groups_sha256",
         "n_shared",
     )
