@@ -24,7 +24,7 @@ from placecount.roles import DATA_COLUMNS, OBS_SCHEMA
 from placecount.session import shared_dir
 from placecount.sources import export, land, load_report, read_obs, read_stream
 from placecount.sources.report import load_counts
-from placecount.streaming import live
+from placecount.streaming import ledger, live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,7 @@ PLACE, OTHER_PLACE = "7", "12"
 FROM, TO = "2024-01-05", "2024-01-20"
 MORNING, NIGHT = "Morning (6:00-12:00)", "Night (20:00-6:00)"
 TODAY = "2024-02-10"
+HALF = "2024-01-15"
 HOURS = [f"{h:02d}:00" for h in range(24)]
 
 
@@ -224,6 +225,17 @@ def _stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that reach a stream of daily totals after their day was closed: of two drains
+    the first brings the later half of the events."""
+    source, root = shared_dir(spark), shared_dir(spark)
+    obs = live.with_event_time(events(spark, sf_dir))
+    for part in (obs.where(F.col("obs_date") >= HALF), obs.where(F.col("obs_date") < HALF)):
+        part.write.mode("append").parquet(source)
+        drained = ledger.drain_totals(spark.readStream.schema(obs.schema).parquet(source), root=root)
+    return drained.late.select("place", "obs_date", "slot", "v", "seq", "reason")
+
+
 def queries() -> dict[str, Query]:
     return {
         # Loading and normalising
@@ -325,6 +337,7 @@ def queries() -> dict[str, Query]:
             live.with_event_time(_raw_stream(s, d))
         ).select("place", "obs_date", "total_v", "n"),
         "raw_stream_latest": lambda s, d: live.run_latest(_raw_stream(s, d)),
+        "stream_late_rows": _late_rows,
         "stream_latest": lambda s, d: live.run_latest(tables.events_stream(s, d)),
         "stream_scores": _stream_scores,
     }

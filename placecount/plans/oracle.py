@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from placecount.plans.catalog import FROM, HOURS, MORNING, NIGHT, OTHER_PLACE, PLACE, TO, TODAY
+from placecount.plans.catalog import FROM, HALF, HOURS, MORNING, NIGHT, OTHER_PLACE, PLACE, TO, TODAY
 from placecount.roles import OBS_COLUMNS
 
 _EVENTS = """
@@ -391,5 +391,8 @@ SELECT place, obs_date, hour,
        'Prediction Results:' || chr(10) || chr(10) || 'Junction: ' || place || chr(10)
        || 'Date: ' || obs_date || chr(10) || 'Hour: ' || hour || ':00' || chr(10) || chr(10)
        || 'Predicted Vehicle Count: ' || predicted_v || chr(10) AS text FROM scored""",
+        "stream_late_rows": f"""{ev}
+SELECT place, obs_date, slot, v, seq, 'too late' AS reason FROM obs
+WHERE obs_date < DATE '{HALF}' AND obs_date + 1 <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
         "stream_latest": f"{_L1} SELECT place, v FROM latest",
     }

@@ -1,14 +1,12 @@
 """The same analytics over a stream of observations.
 
 Each function returns a streaming frame, so the caller chooses sink, trigger and
-checkpoint. ``run_available`` (append mode) and ``run_updates`` (update mode) drain
-what is there now into shared storage, for scheduled incremental runs.
+checkpoint. ``run_available`` (append mode), ``run_latest`` and ``run_totals`` drain what
+is there now into shared storage, for scheduled incremental runs; see ``ledger``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +14,7 @@ from placecount.functions.expressions import event_order, slot_instant, utc_day
 from placecount.operators.filters import valid_rows
 from placecount.operators.models import ConditionModel, CountModel, predict_condition
 from placecount.session import shared_dir
-
-LATENESS = "1 hour"
+from placecount.streaming.ledger import LATENESS, drain_totals, newest_rows
 
 
 def with_event_time(obs: DataFrame) -> DataFrame:
@@ -30,7 +27,7 @@ def windowed_totals(
 ) -> DataFrame:
     """Total count per place and window of ``event_time``. In append mode a window is
     emitted once the watermark has passed its end, in update mode at each change. Rows
-    that come after that are dropped; ``run_updates`` counts them."""
+    that come after that are dropped; ``ledger.drain_totals`` keeps them."""
     return (
         stream.withWatermark("event_time", lateness)
         .groupBy("place", F.window("event_time", grain).alias("window"))
@@ -52,56 +49,17 @@ def latest_stream(stream: DataFrame) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class Drained:
-    """What a stream has given so far, and the rows of this run that came too late."""
-
-    rows: DataFrame
-    late_rows: int
-
-
-def run_updates(frame: DataFrame, keys: list[str], root: str | None = None) -> Drained:
-    """Drain an update-mode stream: the newest row of each key.
-
-    Each batch of changed rows is a folder of its own below ``root``; writing it again
-    after a failure replaces it. Give the same root again to continue.
-    """
-    spark = frame.sparkSession
-    root = root or shared_dir(spark)
-
-    def write(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{root}/out/batch={batch}")
-
-    query = (
-        frame.writeStream.foreachBatch(write)
-        .outputMode("update")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    late = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
-    values = [c for c in frame.columns if c not in keys]
-    if not _exists(spark, f"{root}/out"):
-        return Drained(spark.createDataFrame([], frame.schema), late)
-    batches = spark.read.schema(frame.schema).parquet(f"{root}/out")
-    newest = batches.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("newest"))
-    return Drained(newest.select(*keys, "newest.*").select(*frame.columns), late)
-
-
-def _exists(spark, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def run_latest(stream: DataFrame, root: str | None = None) -> DataFrame:
     """Drain what is there and return the latest count per place so far."""
-    return run_updates(latest_stream(stream), ["place"], root).rows
+    return newest_rows(latest_stream(stream), ["place"], root)
 
 
-def run_totals(stream: DataFrame, grain: str = "1 day", lateness: str = LATENESS) -> DataFrame:
-    """Drain what is there and return all totals so far, those of open windows included."""
-    return run_updates(windowed_totals(stream, grain, lateness), ["place", "start"]).rows
+def run_totals(
+    stream: DataFrame, grain: str = "1 day", lateness: str = LATENESS, root: str | None = None
+) -> DataFrame:
+    """Drain what is there and return all totals so far, those of open windows included.
+    ``drain_totals`` gives the rows that came too late as well."""
+    return drain_totals(stream, grain, lateness, root).rows
 
 
 def score_stream(

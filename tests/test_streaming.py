@@ -49,19 +49,119 @@ def test_all_days_equal_batch(spark, rows):
     assert rows(got) == rows(aggregates.daily(events(spark, SF_DIR)))
 
 
-def test_late_rows_are_counted(spark, tmp_path):
-    source, root = tmp_path / "in", str(tmp_path / "run")
-    every = events(spark, SF_DIR)
-    every.filter("obs_date >= '2024-01-15'").write.parquet(str(source))
-
-    def drain():
-        stream = live.with_event_time(spark.readStream.schema(every.schema).parquet(str(source)))
-        return live.run_updates(live.windowed_totals(stream), ["place", "start"], root)
-
-    assert drain().late_rows == 0
-    early = every.filter("obs_date < '2024-01-15'")
-    early.write.mode("append").parquet(str(source))
-    assert drain().late_rows > 0
+def timed_files(spark, folder, batches):
+    """A stream of one file for each batch of (place, minute, v), in order."""
+    import os
+
+    schema = "place string, event_time timestamp, v int"
+    made = len(list(folder.glob("*"))) if folder.exists() else 0
+    folder.mkdir(exist_ok=True)
+    for i, batch in enumerate(batches, made):
+        at = [f"('{p}', {'null' if m is None else f'timestamp_seconds({m * 60})'}, {v})" for p, m, v in batch]
+        frame = spark.sql(f"select place, cast(event_time as timestamp) event_time, cast(v as int) v from values {', '.join(at)} t(place, event_time, v)")
+        target = folder / f"{i:04d}.parquet"
+        frame.toPandas().to_parquet(target, coerce_timestamps="us")
+        os.utime(target, (1_000_000 + i, 1_000_000 + i))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def replayed(batches, grain=60, lateness=60):
+    """Totals and late rows of (place, minute, v) batches, in plain Python."""
+    totals, late, newest = {}, [], None
+    for number, batch in enumerate(batches):
+        watermark = None if newest is None else newest - lateness
+        for place, minute, v in batch:
+            if minute is None:
+                late.append((place, minute, v, "no time", number))
+                continue
+            start = minute // grain * grain
+            if watermark is not None and start + grain <= watermark:
+                late.append((place, minute, v, "too late", number))
+                continue
+            total = totals.setdefault((place, start), [0, 0])
+            total[0] += v
+            total[1] += 1
+        newest = max([m for _, m, _ in batch if m is not None] + ([] if newest is None else [newest]), default=None)
+    return sorted((p, s, *t) for (p, s), t in totals.items()), sorted(late, key=repr)
+
+
+def drained(spark, stream, root):
+    from placecount.streaming import ledger
+
+    found = ledger.drain_totals(stream, "1 hour", "1 hour", root)
+    totals = sorted((r.place, int(r.at), r.total_v, r.n) for r in found.rows.select("*", (F.unix_seconds("start") / 60).alias("at")).collect())
+    late = found.late.select("place", (F.unix_seconds("event_time") / 60).cast("int").alias("m"), "v", "reason", "batch").collect()
+    return totals, sorted(map(tuple, late), key=repr), found.late_rows
+
+
+def test_late_rows_over_many_batches(spark, tmp_path):
+    """Each row that comes too late is kept, over more batches than a query reports on."""
+    import random
+
+    r = random.Random(8)
+    batches = []
+    for i in range(104):
+        now = 5_000 + 30 * i
+        batch = [(r.choice("ab"), now + r.randrange(30), r.randrange(9)) for _ in range(3)]
+        if i % 9 == 4:
+            batch += [("a", now - 600 - k, 1) for k in range(5)]  # five rows of one place and window
+        if i % 20 == 7:
+            batch.append(("b", None, 2))
+        batches.append(batch)
+    root, folder = str(tmp_path / "run"), tmp_path / "in"
+    stream = timed_files(spark, folder, batches[:102])
+    totals, late, n = drained(spark, stream, root)
+    want = replayed(batches[:102])
+    assert (totals, late) == want
+    assert n == sum(row[3] == "too late" for row in late) == 55
+    # The watermark outlives the drain.
+    stream = timed_files(spark, folder, [*batches[102:], [("a", 100, 7), ("c", 9_000, 1)]])
+    totals, late, _ = drained(spark, stream, root)
+    assert (totals, late) == replayed([*batches, [("a", 100, 7), ("c", 9_000, 1)]])
+
+
+def test_a_drain_reads_one_snapshot_and_its_batches(spark, tmp_path):
+    from placecount.streaming.ledger import Ledger
+
+    root, folder = str(tmp_path / "run"), tmp_path / "in"
+    batches = [[("a", 6_000 + 10 * i, i)] for i in range(6)]
+    for i in range(0, 6, 2):
+        stream = timed_files(spark, folder, batches[i : i + 2])
+        assert drained(spark, stream, root)[0] == replayed(batches[: i + 2])[0]
+        upto, path = Ledger(spark, root).snapshot()
+        assert (upto, path) == (i + 1, f"snapshots/upto={i + 1}")
+        names = sorted(p.name for p in (tmp_path / "run" / "deltas" / f"after={i - 1}").iterdir())
+        assert names == [f"batch={i}", f"batch={i + 1}"]
+    assert drained(spark, stream, root)[0] == replayed(batches)[0]  # nothing new
+    assert Ledger(spark, root).snapshot()[0] == 5
+
+
+def test_a_failed_merge_changes_nothing(spark, tmp_path, monkeypatch):
+    """Without a manifest a snapshot does not count, and the next drain merges again."""
+    from placecount.streaming import ledger
+
+    root, folder = str(tmp_path / "run"), tmp_path / "in"
+    batches = [[("a", 6_000, 1)], [("a", 6_001, 2)], [("b", 6_002, 4)]]
+    drained(spark, timed_files(spark, folder, batches[:1]), root)
+
+    def failing(self, *args):
+        raise OSError("lost")
+
+    whole = ledger.Ledger.merge
+    monkeypatch.setattr(ledger.Ledger, "merge", failing)
+    with pytest.raises(OSError):
+        drained(spark, timed_files(spark, folder, batches[1:2]), root)
+    monkeypatch.setattr(ledger.Ledger, "merge", whole)
+    assert drained(spark, timed_files(spark, folder, batches[2:]), root)[0] == replayed(batches)[0]
+
+
+def test_an_empty_stream(spark, tmp_path):
+    from placecount.streaming import ledger
+
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("place string, event_time timestamp, v int").parquet(str(tmp_path / "in"))
+    found = ledger.drain_totals(stream, root=str(tmp_path / "run"))
+    assert found.rows.collect() == [] and found.late_rows == 0
 
 
 def test_csv_streams_check_their_header(spark, tmp_path):
