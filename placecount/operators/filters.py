@@ -68,20 +68,22 @@ def select_obs(
     return where_band(df, band)
 
 
-def _is_valid(need_slot: bool) -> Column:
-    ok = F.col("place").isNotNull() & F.col("v").isNotNull()
-    return ok & F.col("slot").isNotNull() if need_slot else ok
-
-
 def valid_rows(df: DataFrame, need_slot: bool = False) -> DataFrame:
-    """Rows with a place and a whole-number count (and a slot, if needed)."""
-    return df.filter(_is_valid(need_slot))
+    """Rows with a place and a whole-number count (and a slot, if needed), from a line that
+    fits its header where the reader tells."""
+    ok = F.col("place").isNotNull() & F.col("v").isNotNull()
+    if need_slot:
+        ok &= F.col("slot").isNotNull()
+    if "broken" in df.columns:
+        ok &= F.col("broken").isNull()
+    return df.filter(ok)
 
 
 def quarantine(df: DataFrame, need_slot: bool = False) -> DataFrame:
     """The rows ``valid_rows`` leaves out, with the reason, and those it keeps that no
-    date filter finds or whose incidents could not be read."""
-    reason = F.when(F.col("place").isNull(), "no place").when(F.col("v").isNull(), "no whole-number count")
+    date filter finds or whose incidents could not be read. A broken line is nothing else."""
+    broken = F.col("broken") if "broken" in df.columns else F.lit(None).cast("string")
+    reason = F.when(broken.isNotNull(), broken).when(F.col("place").isNull(), "no place").when(F.col("v").isNull(), "no whole-number count")
     if need_slot:
         reason = reason.when(F.col("slot").isNull(), "no slot")
     reason = reason.when(F.col("obs_date").isNull(), "no date")

@@ -43,6 +43,7 @@ def normalise(
     null_v: str = "zero",
     default_date: date | str | None = None,
     drop_null_place: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Project raw rows to the contract, repairing what can be repaired.
 
@@ -50,7 +51,7 @@ def normalise(
     Text that is no number is null either way, so ``quarantine`` can show it.
     Without a ``seq`` column the row's position in the scan is taken; for a single
     file that is file order. A stream has no such position and needs the column,
-    which ``read_stream`` gives to files that lack it.
+    which ``read_stream`` gives to files that lack it. Columns to ``keep`` follow.
     """
     if null_v not in ("zero", "keep"):
         raise ValueError("null_v is 'zero' or 'keep'")
@@ -102,6 +103,6 @@ def normalise(
         parts["weather"] = raw("weather")
 
     out = df.select(
-        *[parts[n].cast(t).alias(n) for n, t in OBS_COLUMNS.items() if n in parts]
+        *[parts[n].cast(t).alias(n) for n, t in OBS_COLUMNS.items() if n in parts], *keep
     )
     return out.filter(F.col("place").isNotNull()) if drop_null_place else out

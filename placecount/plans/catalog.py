@@ -22,7 +22,7 @@ from placecount.plans import tables
 from placecount.plans.tables import events, lineitem, orders
 from placecount.roles import DATA_COLUMNS, OBS_SCHEMA
 from placecount.session import shared_dir
-from placecount.sources import export, land, load_report, read_obs, read_stream
+from placecount.sources import export, land, load_report, read_layouts, read_obs, read_stream
 from placecount.sources.report import load_counts
 from placecount.streaming import ledger, live
 
@@ -113,6 +113,38 @@ def _fixed_schema_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise(read_obs(spark, path, schema=OBS_SCHEMA))
 
 
+def _write_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Lines as they are, below ``header``, more files in the folder ``path``."""
+    lines.select(F.col("line").alias(header)).write.mode("append").option("header", True).option("sep", "\x01").option(
+        "quote", "\x00"
+    ).csv(path)
+
+
+def _mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as one folder of files under three headers. Night hours have all columns, by
+    day names are in other order and letter case and there is no weather; hour 12 has
+    neither date nor place. Of hour 3 lines lack two fields, of hour 4 they have two more
+    if there was an error, and of hour 5 the quote before a purchase never closes."""
+    path = shared_dir(spark)
+    obs = events(spark, sf_dir)
+    hour, kind = F.col("hour"), F.col("condition")
+    full = F.concat_ws(",", F.col("obs_date").cast("string"), "slot", F.concat(F.lit('"'), "place", F.lit('"')), "v")
+    rest = F.concat_ws(",", "incidents", "weather", "condition", "seq")
+    line = (
+        F.when(hour == 3, F.concat_ws(",", full, "incidents", "weather"))
+        .when((hour == 4) & (kind == "error"), F.concat_ws(",", full, rest, F.lit("x"), F.lit("y")))
+        .when((hour == 5) & (kind == "purchase"), F.concat_ws(",", full, "incidents", "weather", F.concat(F.lit('"'), "condition"), "seq"))
+        .otherwise(F.concat_ws(",", full, rest))
+    )
+    header = "Date,Time,Junction,Vehicles,Accidents Reported,Weather,Road Condition,seq"
+    _write_lines(obs.where(hour < 6).select(line.alias("line")), header, path)
+    day = F.concat_ws(",", "seq", "place", F.col("obs_date").cast("string"), "v", "condition", "slot")
+    _write_lines(obs.where((hour >= 6) & (hour != 12)).select(day.alias("line")), "SEQ,junction,DATE,vehicles,Road_Condition,TIME", path)
+    bare = F.concat_ws(",", "slot", "v", "seq")
+    _write_lines(obs.where(hour == 12).select(bare.alias("line")), "time,VEHICLES,seq", path)
+    return read_layouts(spark, path, null_v="keep", default_date=TODAY)
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
     land(events(spark, sf_dir), path)
@@ -255,6 +287,10 @@ def queries() -> dict[str, Query]:
         "raw_files_latest": lambda s, d: last.latest(_raw_files(s, d, "keep")),
         "raw_files_histogram": lambda s, d: dist.histogram(last.latest(_raw_files(s, d, "keep"))),
         "raw_files_trend": lambda s, d: slots.trend(_raw_files(s, d, "keep")),
+        "mixed_files": lambda s, d: filters.valid_rows(_mixed_files(s, d)).select(
+            *[c for c in DATA_COLUMNS], "seq"
+        ),
+        "mixed_files_quarantine": lambda s, d: filters.quarantine(_mixed_files(s, d)).select("line", "reason"),
         "landed_daily": lambda s, d: agg.daily(_landed(s, d), None, FROM, TO),
         "exported_daily": _exported,
         "load_counts": _observed_rows,

@@ -257,6 +257,9 @@ SELECT 'by_condition', condition, CAST(NULL AS BIGINT), avg(v), avg(incidents)
 FROM obs GROUP BY condition"""
 
 
+_BROKEN = "(hour = 3 OR hour = 4 AND condition = 'error' OR hour = 5 AND condition = 'purchase')"
+
+
 def oracle_sql() -> dict[str, str]:
     ev, raw, li = _with(_EVENTS), _with(_RAW), _with(_LINEITEM)
     counts = f"{ev}{_COUNT_MODEL} {_predicted('asked')}"
@@ -287,6 +290,20 @@ SELECT obs_date, place, CAST(NULL AS VARCHAR) AS slot, 12 AS hour, v, 0 AS incid
         "raw_files_latest": f"{_L1_RAW} SELECT place, v FROM latest",
         "raw_files_histogram": f"{_L1_RAW}{_HISTOGRAM}",
         "raw_files_trend": f"{_L2_RAW}{_TREND}",
+        "mixed_files": f"""{ev}
+SELECT CASE WHEN hour = 12 THEN DATE '{TODAY}' ELSE obs_date END AS obs_date,
+       CASE WHEN hour = 12 THEN 'Default Junction' ELSE place END AS place, slot, hour, v,
+       CASE WHEN hour < 6 THEN incidents ELSE 0 END AS incidents,
+       CASE WHEN hour = 12 THEN 'Normal' ELSE condition END AS condition,
+       CASE WHEN hour < 6 THEN weather END AS weather,
+       CASE WHEN hour = 12 THEN 0 ELSE dow END AS dow, seq
+FROM obs WHERE NOT {_BROKEN}""",
+        "mixed_files_quarantine": f"""{ev}
+SELECT obs_date || ',' || slot || ',"' || place || '",' || v || ',' || incidents || ',' || weather
+       || CASE hour WHEN 3 THEN '' WHEN 4 THEN ',' || condition || ',' || seq || ',x,y'
+          ELSE ',"' || condition || ',' || seq END AS line,
+       CASE hour WHEN 3 THEN 'too few fields' WHEN 4 THEN 'too many fields' ELSE 'unclosed quote' END AS reason
+FROM obs WHERE {_BROKEN}""",
         "landed_daily": f"{ev} {_DAILY} WHERE {_PERIOD} GROUP BY place, obs_date",
         "exported_daily": f"{ev} {_DAILY} GROUP BY place, obs_date",
         "load_counts": _load_counts(),

@@ -1,4 +1,5 @@
 from placecount.sources.cache import ObservationCache
+from placecount.sources.layouts import read_layouts
 from placecount.sources.reader import read_obs, read_stream
 from placecount.sources.report import LoadReport, load_report
 from placecount.sources.sink import export, land
@@ -9,6 +10,7 @@ __all__ = [
     "export",
     "land",
     "load_report",
+    "read_layouts",
     "read_obs",
     "read_stream",
 ]
