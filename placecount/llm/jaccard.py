@@ -43,6 +43,7 @@ SHINGLE_WORDS = 4
 PERCENT = 85
 PARTS_PER_DIFFERENCE = 1.5
 PART_BITS = 1024
+SKETCH_BITS = 4
 SEEDS = 4
 LEADERS = 16
 MOST_LEADERS = 4096
@@ -51,6 +52,7 @@ COMPARED_PER_LEADER_ROW = 64
 # Ids of texts to compare are sent to all tasks up to this number, 16 bytes each.
 BROADCAST_IDS = 1_000_000
 _SEEN = 300_000
+_SEEN_PAIRS = 1_000_000
 
 _U = np.uint64
 _C1, _C2, _C3 = _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB), _U(0x8EBC6AF09C88C6E3)
@@ -84,6 +86,8 @@ def part_keys(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Keys of the sketch parts by which a set meets its partners."""
     keys = []
     for band, most in _schemes(len(hashes), percent):
+        if not most:
+            continue  # sets without a difference are one vertex already
         parts = _parts(band, percent)
         for seed in range(SEEDS):
             z = mix(hashes ^ mix(np.array([seed * 131 + 17], _U)))
@@ -110,8 +114,9 @@ def part_keys(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def parity_sketch(hashes: np.ndarray) -> bytes:
-    """One bit for each member or more, and at least 64."""
-    bits = max(64, 1 << (len(hashes) - 1).bit_length())
+    """``SKETCH_BITS`` bits for each member or up to twice as many, and at least 64. Few
+    members of a difference meet in a bit, so few pairs beyond the limit look within it."""
+    bits = max(64, 1 << (SKETCH_BITS * len(hashes) - 1).bit_length())
     at = (mix(hashes ^ _C2) & _U(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(at, minlength=bits) & 1, bitorder="little").tobytes()
 
@@ -188,16 +193,60 @@ def _within_reach(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFr
     return pairs.where(fits).mapInArrow(run, "a long, b long")
 
 
-def _near_pairs(rows: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+def _shared(keys: DataFrame) -> DataFrame:
+    """(key, lead, v) of each set under a key that another set has too; ``lead`` is the
+    least of them. Keys are dealt once and streamed in order, and those of one set are
+    dropped on the way."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, lead, waiting = None, None, False  # the row before; whether its key has one set so far
+        for batch in batches:
+            key, v = (batch.column(c).to_numpy() for c in ("key", "v"))
+            if not len(key):
+                continue
+            starts = np.append(last is None or key[0] != last[0], key[1:] != key[:-1])
+            repeated = ~starts & np.append(last is not None and v[0] == last[1], v[1:] == v[:-1])
+            key, v, starts = key[~repeated], v[~repeated], starts[~repeated]
+            if not len(key):
+                continue
+            goes_on = not starts[0]
+            if goes_on:  # the least set of the key is in an earlier batch
+                key, v = np.append(last[0], key), np.append(lead, v)
+                starts = np.append(True, starts)
+            first = np.flatnonzero(starts)
+            of = np.cumsum(starts) - 1
+            sizes = np.diff(np.append(first, len(key)))
+            kept = sizes[of] > 1
+            if goes_on and not waiting:
+                kept[0] = False  # given already
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[kept]), pa.array(v[first][of][kept]), pa.array(v[kept])], names=["key", "lead", "v"]
+            )
+            last, lead, waiting = (key[-1], v[-1]), v[first[-1]], sizes[-1] == 1
+
+    dealt = keys.repartition("key").sortWithinPartitions("key", "v")
+    return dealt.mapInArrow(run, "key long, lead long, v long")
+
+
+def _leading(rows: DataFrame, leaders: int) -> DataFrame:
+    """(key, v) of the ``leaders`` sets of the smallest components of each key. The first of
+    each part of a key are found before those of the whole, so no task ranks a whole key."""
+    by_size = ("size", "v")
+    of_part = F.row_number().over(Window.partitionBy("key", "part").orderBy(*by_size))
+    of_key = F.row_number().over(Window.partitionBy("key").orderBy(*by_size))
+    first = rows.select("key", "part", "size", "v", of_part.alias("rank")).where(F.col("rank") <= leaders)
+    return first.select("key", "v", of_key.alias("rank")).where(F.col("rank") <= leaders).select("key", "v")
+
+
+def _near_pairs(rows: DataFrame, leads: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of a leading set and another one of the same key but another
     component that sizes and sketches allow to link. The rows of a key are split over
     tasks, to each of which its leaders go; there are at most ``MOST_LEADERS``.
     """
     known = rows.join(vertices.select("v", "n", "sketch"), "v")
     columns = ("v", "root", "n", "sketch")
-    own = F.pmod(F.xxhash64("v"), "parts").cast("int")
-    members = known.select("key", own.alias("part"), F.lit(1).alias("kind"), *columns)
-    leading = known.where("leads").select(
+    members = known.select("key", "part", F.lit(1).alias("kind"), *columns)
+    leading = known.join(leads, ["key", "v"]).select(
         "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), *columns
     )
     laid_out = (
@@ -206,6 +255,7 @@ def _near_pairs(rows: DataFrame, vertices: DataFrame, percent: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, leaders = None, []
+        seen: set[tuple[int, int]] = set()  # sets that are alike share many keys
         for batch in batches:
             place = list(zip(batch.column("key").to_pylist(), batch.column("part").to_pylist()))
             kinds = batch.column("kind").to_pylist()
@@ -222,6 +272,10 @@ def _near_pairs(rows: DataFrame, vertices: DataFrame, percent: int) -> DataFrame
                 else:
                     pairs |= _near(leaders, rows[start:stop], percent)
                 start = stop
+            pairs -= seen
+            if len(seen) > _SEEN_PAIRS:
+                seen.clear()
+            seen |= pairs
             columns_out = zip(*sorted(pairs)) if pairs else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns_out], names=["a", "b"])
 
@@ -330,9 +384,7 @@ def link_classes(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT
     )
     if not vertices.where("not one").isEmpty():
         raise ValueError("two different sets have the same name; change the hash constants")
-    keys = sets.select("v", F.explode("keys").alias("key"))
-    leads = keys.groupBy("key").agg(F.min("v").alias("lead"), F.max("v").alias("last")).where("lead < last")
-    shared = durable(keys.join(leads.select("key", "lead"), "key").select("key", "lead", "v").distinct())
+    shared = durable(_shared(sets.select(F.explode("keys").alias("key"), "v")))
     follow = shared.where("v != lead")
     tested = durable(follow.select(F.col("lead").alias("a"), F.col("v").alias("b")).distinct())
     links = _linked(tested, vertices, docs, k, percent)
@@ -346,19 +398,25 @@ def link_classes(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT
             "key", "v", F.coalesce("root", "v").alias("root"), F.coalesce("size", F.lit(1)).alias("size")
         )
         several = placed.groupBy("key").agg(
-            F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("rows")
+            F.min("root").alias("x"),
+            F.max("root").alias("y"),
+            F.count(F.lit(1)).alias("rows"),
+            *[F.bit_xor(F.xxhash64(F.lit(seed), "v")).alias(f"sets{seed}") for seed in (1, 2)],
         )
-        several = several.where("x < y").select("key", F.ceil(F.col("rows") / MEMBERS_PER_TASK_ROW).cast("int").alias("parts"))
-        turn = Window.partitionBy("key").orderBy("size", "v")
-        rest = durable(placed.join(several, "key").withColumn("leads", F.row_number().over(turn) <= leaders))
+        # Sets that are alike share many keys; one of those with the same sets is enough.
+        alone = several.where("x < y").groupBy("rows", "sets1", "sets2").agg(F.min("key").alias("key"))
+        several = alone.select("key", F.ceil(F.col("rows") / MEMBERS_PER_TASK_ROW).cast("int").alias("parts"))
+        own = F.pmod(F.xxhash64("v"), "parts").cast("int").alias("part")
+        rest = durable(placed.join(several, "key").select("*", own))
         if rest.isEmpty():
             break
-        new = durable(_near_pairs(rest, vertices, percent).join(tested, ["a", "b"], "left_anti"))
+        leads = durable(_leading(rest, leaders))
+        new = durable(_near_pairs(rest, leads, vertices, percent).join(tested, ["a", "b"], "left_anti"))
         if not new.isEmpty():
             links = links.unionAll(_linked(new, vertices, docs, k, percent))
             roots = components(links)
             tested = tested.unionAll(new)
-        rest, leaders = rest.where("not leads").select("key", "v"), min(leaders * 16, MOST_LEADERS)
+        rest, leaders = rest.select("key", "v").join(leads, ["key", "v"], "left_anti"), min(leaders * 16, MOST_LEADERS)
     return _classes(sets, vertices, roots)
 
 
