@@ -98,6 +98,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         of_kind(2).alias("n_hex"),
         F.sha2(secret_scan.describe(F.col("base")), 256).alias("base_sha256"),
         secret_scan.describe(F.col("spans")).alias("spans"),
+        secret_scan.describe(F.col("live")).alias("live_spans"),
+        secret_scan.describe_verdicts(F.col("candidates")).alias("candidates"),
     )
 
 

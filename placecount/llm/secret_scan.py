@@ -5,9 +5,9 @@ many owners or repositories have is an example from some manual. A value of one
 in few repositories looks live. Values are compared by hash only.
 
 Everything is DataFrame functions. Positions come from the texts between matches, as
-SQL regular expressions return none. Candidate hashes are made distinct by owner and
-repository before they are counted, so an example that every document has is reduced
-on the map side.
+SQL regular expressions return none. Candidates are counted step by step, by text, then
+by owner and repository, so an example that every document has is no hot group; its
+counts reach its candidates by broadcast.
 """
 
 from __future__ import annotations
@@ -31,11 +31,13 @@ _LONG_HEX = HEX[:-1] + "{%d,}" % MIN_HEX
 OWNED = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ("assign", "access", "hex", "owned")
 
+HOT_VALUES, HOT_USES = 1_000, 10_000
 EXAMPLE_OWNERS = 3
 EXAMPLE_REPOS = 8
 MASK = "[secret]"
 
 _SPANS = "array<struct<start:int,kind:int,end:int,hash:bigint>>"
+_JUDGED = "array<struct<start:int,kind:int,end:int,hash:bigint,owners:bigint,repos:bigint,looks_live:boolean>>"
 
 
 def _matches(text: Column, pattern: str, kind: int, value_group: int = 0, min_value: int = 0) -> Column:
@@ -86,17 +88,31 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """(hash, owners, repos) of candidates (hash, owner, repo), all counted once."""
+    """(hash, owners, repos, uses) of candidates (hash, text_hash, owner, repo). Equal texts
+    count once, for the least of their owners and repositories: a copy of a whole text
+    makes a value no more of an example. ``uses`` counts every candidate."""
     return (
-        candidates.select("hash", "owner", "repo")
-        .distinct()
+        candidates.groupBy("hash", "text_hash")
+        .agg(F.min(F.struct("owner", "repo")).alias("of"), F.count(F.lit(1)).alias("uses"))
+        .groupBy("hash", "of.owner", "of.repo")
+        .agg(F.sum("uses").alias("uses"))
         .groupBy("hash", "owner")
-        .agg(F.count(F.lit(1)).alias("repos"))
+        .agg(F.count(F.lit(1)).alias("repos"), F.sum("uses").alias("uses"))
         .groupBy("hash")
-        .agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"))
+        .agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"), F.sum("uses").alias("uses"))
     )
 
 
+def _with_counts(candidates: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """Candidates with owners and repos of their hash. Values that many texts have are sent
+    to all tasks, ``HOT_VALUES`` at most, as no more can have that share of all uses."""
+    hot = counts.where(F.col("uses") * HOT_VALUES >= max(total, HOT_VALUES * HOT_USES)).drop("uses")
+    near = candidates.join(F.broadcast(hot), "hash", "left")
+    rest = near.where("owners is null").drop("owners", "repos")
+    cool = counts.where(F.col("uses") * HOT_VALUES < max(total, HOT_VALUES * HOT_USES)).drop("uses")
+    return near.where("owners is not null").unionByName(rest.join(cool, "hash"))
+
+
 def describe(spans: Column) -> Column:
     """``kind:start:end`` of each span, joined by commas."""
     kinds = F.array(*[F.lit(k) for k in KINDS])
@@ -106,13 +122,14 @@ def describe(spans: Column) -> Column:
 
 
 def scan(docs: DataFrame, owner: Column, repo: Column, min_owners: int = EXAMPLE_OWNERS, min_repos: int = EXAMPLE_REPOS) -> DataFrame:
-    """(doc_id, text_hash, base, spans, live) of each of ``docs`` (doc_id, text).
+    """(doc_id, text_hash, base, spans, live, candidates) of each of ``docs`` (doc_id, text).
 
     ``base`` are the base spans; ``spans`` adds the key-like ones that look live;
-    ``live`` are those of ``spans`` that look live. A candidate is an example if at
-    least ``min_owners`` owners or ``min_repos`` repositories have it, else it looks
-    live. Null owners and repositories are values of their own. Repeated rows are
-    scanned one by one and count once.
+    ``live`` are those of ``spans`` that look live; ``candidates`` are all, with owners,
+    repos and ``looks_live``. A candidate is an example if at least ``min_owners`` owners
+    or ``min_repos`` repositories have it, else it looks live. Null owners and
+    repositories are values of their own. Repeated rows are scanned one by one, and
+    equal texts count once.
     """
     found = durable(
         find_spans(
@@ -125,18 +142,45 @@ def scan(docs: DataFrame, owner: Column, repo: Column, min_owners: int = EXAMPLE
     candidates = found.select(
         "doc_id", "text_hash", "owner", "repo", F.explode(F.concat("base", "owned")).alias("span")
     ).withColumn("hash", F.col("span.hash"))
-    live = (
-        candidates.select("doc_id", "text_hash", "hash", "span")
-        .join(ownership(candidates).where((F.col("owners") < min_owners) & (F.col("repos") < min_repos)), "hash")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-        .agg(F.array_sort(F.collect_set("span")).alias("live"))
+    counts = durable(ownership(candidates))
+    total = counts.agg(F.sum("uses")).first()[0] or 0
+    looks_live = (F.col("owners") < min_owners) & (F.col("repos") < min_repos)
+    judged = (
+        _with_counts(candidates.select("doc_id", "text_hash", "hash", "span"), counts, int(total))
+        .select(
+            F.col("doc_id").alias("_id"),
+            F.col("text_hash").alias("_hash"),
+            F.struct("span.*", "owners", "repos", looks_live.alias("looks_live")).alias("judged"),
+        )
+        .groupBy("_id", "_hash")
+        .agg(F.array_sort(F.collect_set("judged")).alias("candidates"))
     )
-    none = F.array().cast(_SPANS)
+
+    def spans(of: Column) -> Column:
+        return F.transform(of, lambda c: F.struct(c["start"], c["kind"], c["end"], c["hash"])).cast(_SPANS)
+
+    none = F.array().cast(_JUDGED)
     return (
-        found.join(live, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
-        .withColumn("live", F.coalesce("live", none))
+        found.join(judged, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+        .withColumn("candidates", F.coalesce("candidates", none))
+        .withColumn("live", spans(F.filter("candidates", lambda c: c["looks_live"])))
         .withColumn("spans", F.array_sort(F.concat("base", F.filter("live", lambda s: s["kind"] == 3))))
-        .select("doc_id", "text_hash", "base", "spans", "live")
+        .select("doc_id", "text_hash", "base", "spans", "live", "candidates")
+    )
+
+
+def describe_verdicts(candidates: Column) -> Column:
+    """``kind:start:end:owners:repos:verdict`` of each candidate, joined by commas."""
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    return F.array_join(
+        F.transform(
+            candidates,
+            lambda c: F.concat_ws(
+                ":", F.element_at(kinds, c["kind"] + 1), c["start"], c["end"], c["owners"], c["repos"],
+                F.when(c["looks_live"], "live").otherwise("example"),
+            ),
+        ),
+        ",",
     )
 
 

@@ -151,19 +151,29 @@ def candidates(text):
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
-def live_secrets(docs, min_owners=3, min_repos=8):
-    """docs: (doc_id, owner, text); live spans of each id."""
-    owners, repos = {}, {}
+def judged_secrets(docs, min_owners=3, min_repos=8):
+    """docs: (doc_id, owner, text); (start, kind, end, owners, repos, live) of each id.
+    Equal texts count once, for the least owner and id."""
+    of_text = {}
     for i, owner, text in docs:
+        of_text[text] = min((owner, i), of_text.get(text, (owner, i)))
+    owners, repos = {}, {}
+    for text, (owner, i) in of_text.items():
         for *_, value in candidates(text):
             owners.setdefault(value, set()).add(owner)
             repos.setdefault(value, set()).add((owner, i))
-    live = {}
+    judged = {}
     for i, _, text in docs:
         for start, kind, end, value in candidates(text):
-            if len(owners[value]) < min_owners and len(repos[value]) < min_repos:
-                live.setdefault(i, []).append((start, kind, end))
-    return {i: sorted(spans) for i, spans in live.items()}
+            n, m = len(owners[value]), len(repos[value])
+            judged.setdefault(i, set()).add((start, kind, end, n, m, n < min_owners and m < min_repos))
+    return {i: sorted(found) for i, found in judged.items()}
+
+
+def live_secrets(docs, min_owners=3, min_repos=8):
+    """Live spans of each id."""
+    live = {i: [c[:3] for c in found if c[5]] for i, found in judged_secrets(docs, min_owners, min_repos).items()}
+    return {i: spans for i, spans in live.items() if spans}
 
 
 def masked(text, spans, mask="[secret]"):

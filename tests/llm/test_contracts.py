@@ -54,6 +54,32 @@ def test_base_secrets(results, tables):
         assert set(filter(None, described[doc_id].split(","))) <= set(spans.split(","))
 
 
+def test_verdicts_on_secrets(results, tables):
+    """Owners and repositories of every candidate, and what follows from them."""
+    got = results("op7_secret_scan")
+    judged = brute.judged_secrets(tables("documents", "doc_id", "source", "text"))
+    kinds = ("assign", "access", "hex", "owned")
+    for doc_id, spans, live, found in rows(got, "doc_id", "spans", "live_spans", "candidates"):
+        want = judged.get(doc_id, [])
+        assert found == ",".join(f"{kinds[k]}:{s}:{e}:{n}:{m}:{'live' if y else 'example'}" for s, k, e, n, m, y in want)
+        assert live == ",".join(f"{kinds[k]}:{s}:{e}" for s, k, e, *_, y in want if y)
+        assert set(live.split(",")) - {""} <= set(spans.split(","))
+
+
+def test_both_verdicts_on_more_documents(spark):
+    """The small table holds no candidate; these do, and a made-up example spread over them."""
+    from placecount.llm import secret_scan
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "source", "text")
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 50 == 0, F.concat("text", F.lit(" password = changeme99"))).otherwise(F.col("text")))
+    judged = brute.judged_secrets([tuple(r) for r in docs.collect()])
+    got = secret_scan.scan(docs, F.col("source"), F.col("doc_id")).where("size(candidates) > 0").collect()
+    found = {r.doc_id: [(c.start, c.kind, c.end, c.owners, c.repos, c.looks_live) for c in r.candidates] for r in got}
+    assert found == judged
+    assert {c[5] for cs in found.values() for c in cs} == {True, False}
+
+
 def test_pieces(results, tables):
     import sentencepiece
 

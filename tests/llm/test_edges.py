@@ -114,6 +114,20 @@ def test_widely_copied_secrets_are_examples(spark):
     assert texts == {i: "password = changeme99 and [secret]" for i in range(9)}
 
 
+def test_copies_of_a_text_count_once(spark, monkeypatch):
+    """One text in many places makes no example; many texts do, also as a hot value."""
+    monkeypatch.setattr(secret_scan, "HOT_USES", 5)
+    monkeypatch.setattr(secret_scan, "HOT_VALUES", 10)
+    copied = [(i, "password = copied11copied", f"owner{i % 5}") for i in range(40)]
+    spread = [(100 + i, f"text {i} with password = spread22spread", f"owner{i % 5}") for i in range(40)]
+    rows = copied + spread + [(999, "token: mine33mine", None), (None, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in secret_scan.scan(frame, F.col("source"), F.col("doc_id")).collect()}
+    counts = {i: {(c.owners, c.repos, c.looks_live) for c in r.candidates} for i, r in found.items()}
+    assert counts[3] == {(1, 1, True)} and counts[105] == {(5, 40, False)} and counts[999] == {(1, 1, True)}
+    assert found[None].candidates == [] and len(found) == len(rows)
+
+
 def test_short_assignments_still_consume(spark):
     text = "password=token: abcdefgh"
     assert brute.base_spans(text) == []
