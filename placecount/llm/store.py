@@ -8,6 +8,7 @@ such as ``file:///data``, ``hdfs://name/data`` or ``s3://bucket/data``.
 from __future__ import annotations
 
 from pyarrow import fs
+from pyspark.sql import DataFrame
 
 
 def _at(uri: str) -> tuple[fs.FileSystem, str]:
@@ -44,3 +45,11 @@ def create(uri: str):
     system, path = _at(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
     return system.open_output_stream(path, compression=None)  # bytes as they are given
+
+
+def release(*written: DataFrame) -> None:
+    """Delete the folders of written frames that nothing reads any more. Only for frames
+    that ``durable`` gave."""
+    for folder in {file.rpartition("/")[0] for df in written for file in df.inputFiles()}:
+        system, path = _at(folder)
+        system.delete_dir(path)

@@ -246,41 +246,6 @@ def test_strange_text_fails_its_language(spark):
     assert quality.js_distance(np.array([[1, 0]]), np.array([0.0, 1.0]))[0] == pytest.approx(1.0)
 
 
-def shares(text, head, tree):
-    """Probability of each token of a text in its state, token by token."""
-    tokens, counts = suffix_tree.token_hashes(pa.array([text]))
-    place = head.find(tokens)
-    follows, one, two = head.contexts(place, counts)
-    p = [(head.counts[i] + 0.5 if i >= 0 else 0.5) / head.scale for i in place]
-    for contexts in (one, two):
-        for i, context in enumerate(contexts):
-            at = np.flatnonzero(tree.contexts == context)
-            if context >= 0 and len(at):
-                gram = np.flatnonzero(tree.grams == context * (head.followers + 1) + follows[i])
-                n = tree.counts[gram[0]] if len(gram) and follows[i] < head.followers else 0.0
-                weight = tree.weights[at[0]]
-                p[i] = (n + weight * p[i]) / (tree.sums[at[0]] + weight)
-    return p
-
-
-def test_states_are_distributions(spark):
-    """The shares of all known words, of any other one and of the end add up to 1."""
-    rows = [(i, ("new york city " * 3 + f"old town hall x{i % 5} ") * 4) for i in range(200)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    vocabulary = suffix_tree._counted(frame, lambda tokens, counts: tokens)
-    head = suffix_tree.Head.of(vocabulary)
-    tree = suffix_tree.grow(suffix_tree.count_contexts(frame, head), head)
-    assert len(tree.contexts) > 3
-    known = ["new", "york", "city", "old", "town", "hall", *(f"x{i}" for i in range(5))]
-    for before in ("", "new", "new york", "york", "city new", "hall"):
-        after = [shares(f"{before} {word}", head, tree)[-2] for word in [*known, "unknown"]]
-        assert sum(after) + shares(before, head, tree)[-1] == pytest.approx(1.0)
-    for text in ("new york city old", "unknown new york", ""):
-        found = suffix_tree.score_block(pa.array([text]), head, tree)
-        rare = len(found["rare"][0].as_py()) * np.log10(0.5 / head.scale)
-        assert found["score_head"][0] + rare == pytest.approx(np.log10(shares(text, head, tree)).sum())
-
-
 @pytest.mark.parametrize("name,stage", cp.STAGES)
 def test_stages_of_odd_rows(name, stage, spark, docs, none, sf_dir):
     columns = list(cp.COLUMNS)
