@@ -43,7 +43,7 @@ SHINGLE_WORDS = 4
 PERCENT = 85
 PARTS_PER_DIFFERENCE = 1.5
 PART_BITS = 1024
-SKETCH_BITS = 4
+SKETCH_BITS = 2
 SEEDS = 4
 LEADERS = 16
 MOST_LEADERS = 4096
@@ -243,14 +243,17 @@ def _near_pairs(rows: DataFrame, leads: DataFrame, vertices: DataFrame, percent:
     component that sizes and sketches allow to link. The rows of a key are split over
     tasks, to each of which its leaders go; there are at most ``MOST_LEADERS``.
     """
-    known = rows.join(vertices.select("v", "n", "sketch"), "v")
     columns = ("v", "root", "n", "sketch")
-    members = known.select("key", "part", F.lit(1).alias("kind"), *columns)
-    leading = known.join(leads, ["key", "v"]).select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), *columns
+    marked = durable(rows.join(leads.withColumn("leads", F.lit(True)), ["key", "v"], "left"))
+    members = marked.where("leads is null").select("key", "part", F.lit(1).alias("kind"), "v", "root")
+    leading = marked.where("leads").select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "v", "root"
     )
+    placed = leading.unionAll(members).join(vertices.select("v", "n", "sketch"), "v")
     laid_out = (
-        leading.unionAll(members).repartition("key", "part").sortWithinPartitions("key", "part", "kind")
+        placed.select("key", "part", "kind", *columns)
+        .repartition("key", "part")
+        .sortWithinPartitions("key", "part", "kind")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +270,9 @@ def _near_pairs(rows: DataFrame, leads: DataFrame, vertices: DataFrame, percent:
                     continue
                 if place[start] != at:
                     at, leaders = place[start], []
-                if kinds[start] == 0:
+                if kinds[start] == 0:  # the same leaders in every part of a key
+                    if place[start][1] == 0:
+                        pairs |= _near(rows[start:stop], leaders + rows[start:stop], percent)
                     leaders += rows[start:stop]
                 else:
                     pairs |= _near(leaders, rows[start:stop], percent)
