@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from placecount.llm import store
 from placecount.llm.text import mix
+from placecount.llm.text import spare
 from placecount.session import durable, shared_dir
 
 SHARD_KEYS = 100_000
@@ -159,22 +160,23 @@ def _shard_levels(path: str, shard: int) -> list[dict]:
 
 def listed(rows: DataFrame, key: str, path: str, shards: int) -> DataFrame:
     """``rows`` with boolean ``listed``: exact for keys of the cascade's universe.
-    A null key is never listed. No shuffle and no join: each task sorts its own
-    rows by shard."""
-    spare = [f"_{name}" for name in ("h1", "h2", "shard")]
+    A null key is never listed; a column of that name is replaced. No shuffle and no
+    join: each task sorts its own rows by shard."""
+    rows = rows.drop("listed")
+    added = first, second, of_shard = [spare(rows.columns, name) for name in ("h1", "h2", "shard")]
     h1, h2 = _hashes(F.col(key))
     local = rows.withColumns(
         {
-            "_h1": F.when(F.col(key).isNotNull(), h1),
-            "_h2": F.when(F.col(key).isNotNull(), h2),
+            first: F.when(F.col(key).isNotNull(), h1),
+            second: F.when(F.col(key).isNotNull(), h2),
         }
-    ).withColumn("_shard", F.pmod("_h1", F.lit(shards)))
+    ).withColumn(of_shard, F.pmod(first, F.lit(shards)))
     out = rows.select("*").schema.add("listed", "boolean")
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, levels = None, []
         for batch in batches:
-            shard = batch.column("_shard").to_pylist()
+            shard = batch.column(of_shard).to_pylist()
             found = np.zeros(batch.num_rows, bool)
             start = 0
             for stop in range(1, len(shard) + 1):
@@ -185,14 +187,14 @@ def listed(rows: DataFrame, key: str, path: str, shards: int) -> DataFrame:
                         current, levels = shard[start], _shard_levels(path, shard[start])
                     h = [
                         np.asarray(batch.column(c).slice(start, stop - start)).view(np.uint64)
-                        for c in ("_h1", "_h2")
+                        for c in (first, second)
                     ]
                     found[start:stop] = in_cascade(levels, *h)
                 start = stop
-            kept = batch.drop_columns(spare)
+            kept = batch.drop_columns(added)
             yield kept.append_column("listed", pa.array(found))
 
-    return local.sortWithinPartitions("_shard").mapInArrow(look_up, out)
+    return local.sortWithinPartitions(of_shard).mapInArrow(look_up, out)
 
 
 def judge(pages: DataFrame, keys: DataFrame, rules=RULES) -> DataFrame:

@@ -213,6 +213,9 @@ def test_cascade_is_exact(spark):
     )
     found = urlfilter.listed(asked, "key", path, shards)
     assert found.where("listed != want").isEmpty() and found.count() == 30_501
+    clashing = asked.limit(3).withColumns({c: F.lit("kept") for c in ("h1", "_h1", "_h2", "_shard", "shard", "listed")})
+    rows = urlfilter.listed(clashing, "key", path, shards).collect()
+    assert all((r.h1, r._h1, r._shard, r.shard) == ("kept",) * 4 and r.listed == r.want for r in rows)
 
 
 def test_odd_urls(spark):
