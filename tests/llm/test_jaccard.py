@@ -62,7 +62,9 @@ def test_linked_sets_meet_and_sketches_bound(percent):
             assert len(np.intersect1d(jaccard.part_keys(base, percent), jaccard.part_keys(other, percent)))
 
 
-def test_components_of_a_path_and_a_star(spark):
+@pytest.mark.parametrize("edges_of_task", [10, 10**6])
+def test_components_of_a_path_and_a_star(spark, monkeypatch, edges_of_task):
+    monkeypatch.setattr(components, "EDGES_OF_TASK", edges_of_task)
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (201, 200), (200, 201)]
     found = components.components(spark.createDataFrame(edges, "a long, b long"))
     roots = {r.v: r.root for r in found.collect()}
