@@ -151,11 +151,54 @@ select n.conv_id, n.depth::bigint as depth, n.parent_conv_id, n.n_convs, n.n_chi
 from full_nodes n join above a on a.depth = n.depth and a.prefix = n.prefix
 """
 
+_BASE32 = """array_to_string([
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((('0x' || substr(h, 5 * (i // 4) + 1, 5))::int >> (15 - 5 * (i % 4))) & 31) + 1]
+    for i in range(0, 32)], '')"""
+
+WARC = f"""
+with payloads as (select page_id, coalesce(html, '') as html from pages),
+hashed as (select *, sha1(html) as h, max(page_id) over (partition by html) as response from payloads)
+select page_id, strlen(html)::bigint as payload_bytes, {_BASE32} as payload_digest,
+  case when page_id = response then 'response' else 'revisit' end as record_type,
+  case when page_id <> response then response end as refers_to
+from hashed
+"""
+
+JACCARD = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+sets as (
+  select doc_id, unnest(list_distinct(case
+    when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(list_slice(w, i, i + 3), ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as s
+  from words
+),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n from sets a join sets b on a.s = b.s and a.doc_id < b.doc_id group by all
+),
+links as (
+  select a, b from shared s join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * s.n >= 85 * (x.n + y.n - s.n)
+),
+edges as (select a, b from links union all select b, a from links),
+reached(doc_id, root) as (
+  select doc_id, doc_id from documents union select r.doc_id, e.b from reached r join edges e on e.a = r.root
+)
+select r.doc_id, coalesce(max(n), 0)::bigint as n_shingles, min(root) as component_id
+from reached r left join sizes z on z.doc_id = r.doc_id group by r.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mix_sources": MIX,
+        "op3_warc": WARC,
         "op4_url_filter": URL_FILTER,
+        "op6_jaccard_join": JACCARD,
         "op12_chat_format": CHAT,
         "op13_prefix_trie": TRIE,
     }

@@ -119,7 +119,10 @@ def test_toxicity_on_the_held_out_rows(results, tables):
     assert np.mean(right) > 0.8
 
 
-@pytest.mark.parametrize("name", ["op1_mix_sources", "op4_url_filter", "op12_chat_format", "op13_prefix_trie"])
+@pytest.mark.parametrize(
+    "name",
+    ["op1_mix_sources", "op3_warc", "op4_url_filter", "op6_jaccard_join", "op12_chat_format", "op13_prefix_trie"],
+)
 def test_sql(name, results, sf_dir):
     import sys
     from pathlib import Path
