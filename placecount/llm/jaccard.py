@@ -238,13 +238,12 @@ def _leading(rows: DataFrame, leaders: int) -> DataFrame:
     return first.select("key", "v", of_key.alias("rank")).where(F.col("rank") <= leaders).select("key", "v")
 
 
-def _near_pairs(rows: DataFrame, leads: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+def _near_pairs(marked: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of a leading set and another one of the same key but another
     component that sizes and sketches allow to link. The rows of a key are split over
     tasks, to each of which its leaders go; there are at most ``MOST_LEADERS``.
     """
     columns = ("v", "root", "n", "sketch")
-    marked = durable(rows.join(leads.withColumn("leads", F.lit(True)), ["key", "v"], "left"))
     members = marked.where("leads is null").select("key", "part", F.lit(1).alias("kind"), "v", "root")
     leading = marked.where("leads").select(
         "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "v", "root"
@@ -415,13 +414,14 @@ def link_classes(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT
         rest = durable(placed.join(several, "key").select("*", own))
         if rest.isEmpty():
             break
-        leads = durable(_leading(rest, leaders))
-        new = durable(_near_pairs(rest, leads, vertices, percent).join(tested, ["a", "b"], "left_anti"))
+        leads = _leading(rest, leaders).withColumn("leads", F.lit(True))
+        marked = durable(rest.join(leads, ["key", "v"], "left"))
+        new = durable(_near_pairs(marked, vertices, percent).join(tested, ["a", "b"], "left_anti"))
         if not new.isEmpty():
             links = links.unionAll(_linked(new, vertices, docs, k, percent))
             roots = components(links)
             tested = tested.unionAll(new)
-        rest, leaders = rest.select("key", "v").join(leads, ["key", "v"], "left_anti"), min(leaders * 16, MOST_LEADERS)
+        rest, leaders = marked.where("leads is null").select("key", "v"), min(leaders * 16, MOST_LEADERS)
     return _classes(sets, vertices, roots)
 
 
