@@ -11,7 +11,8 @@ place by place. They stay a table, which scoring joins.
 * The condition: multinomial logistic regression by Newton's method over weighted cells,
   one row for all observations that are alike. A step adds up gradients and curvatures
   for each place inside tasks, so a place with a third of all cells arrives as one row
-  from each task. It ends when no step can gain anything. Intercepts carry no penalty,
+  from each task. Cells are laid out by ranges of places once, so other places arrive as
+  one row, in two tasks at most. It ends when no step can gain anything. Intercepts carry no penalty,
   so the expected numbers of the conditions are then the observed ones, which tells
   anyone that the fit has converged.
 
@@ -207,12 +208,14 @@ class ConditionModel:
 class _Newton:
     """Newton's method with the terms of places eliminated.
 
-    ``x`` are one and the scaled inputs; the curvature of a cell in the margins of two
-    conditions is a number ``c_kl``, so its sums over a place times each ``x`` are all
-    that the place adds to the equations.
+    ``x`` are one and the inputs, scaled by ``mean`` and ``spread``; the curvature of a cell
+    in the margins of two conditions is a number ``c_kl = c_lk``, so its sums over a place
+    times each ``x`` are all that the place adds to the equations.
     """
 
     cells: DataFrame  # place, x1 .. x3, label, n
+    mean: list[float]
+    spread: list[float]
     classes: int
     n: float
     reg_param: float
@@ -224,7 +227,8 @@ class _Newton:
     def sums_of_places(self, places: DataFrame, theta: np.ndarray) -> DataFrame:
         """(place, n_p, u, data): of each place and task, gradient and curvatures. Rows
         without a place add up loss, gradient and curvature of ``theta``."""
-        k, f = self.classes, self.inputs
+        k, f, mean, spread = self.classes, self.inputs, self.mean, self.spread
+        above = np.triu_indices(k)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: dict[str, list] = {}
@@ -246,7 +250,8 @@ class _Newton:
                 if not m:
                     continue
                 weight = batch.column("n").to_numpy()
-                x = np.column_stack([np.ones(m), *(batch.column(f"x{i}").to_numpy() for i in range(1, f))])
+                inputs = [batch.column(f"x{i}").to_numpy() for i in range(1, f)]
+                x = np.column_stack([np.ones(m), *((c - a) / s for c, a, s in zip(inputs, mean, spread))])
                 u = batch.column("u").flatten().to_numpy().reshape(m, k)
                 margins = x @ theta.T + u
                 top = margins.max(axis=1, keepdims=True)
@@ -262,7 +267,8 @@ class _Newton:
                 bent = np.einsum("mkl,mf,mg->kflg", curve, x, x, optimize=True)
                 whole[1 + k * f :] += bent.ravel()
                 # Of each place: gradient, then the curvatures times each x.
-                parts = np.concatenate([gradient, (curve[:, None] * x[:, :, None, None]).reshape(m, -1)], axis=1)
+                half = curve[:, *above]
+                parts = np.concatenate([gradient, (half[:, None] * x[:, :, None]).reshape(m, -1)], axis=1)
                 coded = batch.column("place").dictionary_encode()
                 code = coded.indices.to_numpy()
                 order = np.argsort(code, kind="stable")
@@ -289,6 +295,7 @@ class _Newton:
         and of each task, without a place, its share of the reduced equations."""
         k, f, n, reg_param = self.classes, self.inputs, self.n, self.reg_param
         size = k * f
+        row, column = np.triu_indices(k)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             loss, right, left = 0.0, np.zeros(size), np.zeros((size, size))
@@ -302,7 +309,8 @@ class _Newton:
                 penalty = reg_param * n_p * (1 - n_p / n) * n / (n - 1)  # by its column's variance
                 gradient = data[:k] + penalty * u
                 # Rows: the place's margins; columns: those of theta, by condition and input.
-                cross = data[k:].reshape(f, k, k).transpose(1, 2, 0)
+                cross = np.empty((k, k, f))
+                cross[row, column] = cross[column, row] = data[k:].reshape(f, -1).T
                 own = cross[:, :, 0] + penalty * np.eye(k)
                 cross = cross.reshape(k, size)
                 solved = np.linalg.solve(own, np.column_stack([gradient, cross]))
@@ -403,12 +411,12 @@ def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_steps: int =
     complete = reduce(
         Column.__and__, [F.col(c).isNotNull() for c in DATA_COLUMNS if c in obs.columns]
     )
-    cells = durable(
-        obs.groupBy("place", "hour", "dow", "v", "condition").agg(
-            F.count_if(complete).cast("double").alias("n"),
-            F.count(F.lit(1)).cast("double").alias("n_all"),
-        )
+    cell = ("place", "hour", "dow", "v", "condition")
+    counted = obs.groupBy(*cell).agg(
+        F.count_if(complete).cast("double").alias("n"),
+        F.count(F.lit(1)).cast("double").alias("n_all"),
     )
+    cells = durable(counted.repartitionByRange(*cell).sortWithinPartitions("place"))
     counts = cells.where("condition is not null").groupBy("condition").agg(F.sum("n_all"), F.sum("n")).collect()
     ordered = sorted(counts, key=lambda row: (-row[1], row[0]))
     labels, fitted = [row[0] for row in ordered], [row[0] for row in ordered if row[2]]
@@ -423,11 +431,16 @@ def fit_condition(obs: DataFrame, reg_param: float = REG_PARAM, max_steps: int =
     mean = {c: moments[c] / n for c in inputs}
     about = cells.agg(*[F.sum(F.col("n") * (F.col(c) - mean[c]) ** 2).alias(c) for c in inputs]).first()
     spread = {c: math.sqrt(about[c] / (n - 1)) if n > 1 and about[c] > 0 else 0.0 for c in inputs}
-    scaled = [
-        ((F.col(c) - mean[c]) / (spread[c] or 1.0)).alias(f"x{i}") for i, c in enumerate(inputs, 1)
-    ]
+    values = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(inputs, 1)]
     label = (F.array_position(F.array(*map(F.lit, fitted)), F.col("condition")) - 1).cast("long")
-    newton = _Newton(cells.select("place", *scaled, label.alias("label"), "n"), len(fitted), n, reg_param)
+    newton = _Newton(
+        cells.select("place", *values, label.alias("label"), "n"),
+        [mean[c] for c in inputs],
+        [spread[c] or 1.0 for c in inputs],
+        len(fitted),
+        n,
+        reg_param,
+    )
     shares = np.log([row[2] / n for row in ordered if row[2]])
     start = np.zeros((len(fitted), 4))
     start[:, 0] = shares - shares.mean()

@@ -269,3 +269,26 @@ def test_training_on_files(spark, small_csv):
 def test_place_index(spark, known):
     model = models.index_labels(known.unionByName(known.filter("place = 'C'")), "place")
     assert model.labels == ["C", "A", "B"]
+
+
+def test_a_place_gives_one_row_a_step(spark, monkeypatch):
+    rows = [(str(p), (7 * p + c) % 24, c % 7 + 1, c, "ab"[(p * c) % 3 == 0]) for c in range(30) for p in range(200)]
+    frame = spark.createDataFrame(rows, "place string, hour int, dow int, v int, condition string")
+    monkeypatch.setattr(models, "_HELD_PLACES", 10)
+    made, whole = [], models._Newton.sums_of_places
+
+    def counted(self, places, theta):
+        sums = whole(self, places, theta)
+        made.append(sums.where("place is not null").count())
+        return sums
+
+    monkeypatch.setattr(models._Newton, "sums_of_places", counted)
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "100")
+    try:
+        models.fit_condition(frame)
+    finally:
+        spark.conf.set(limit, before)
+    # A place may be cut where a task or a batch ends.
+    assert made and max(made) <= 200 + len(rows) // 100 + 20
