@@ -44,7 +44,8 @@ REG_PARAM = 0.1
 MAX_STEPS = 50
 # A step that could gain less than this, in the log likelihood of all rows, is the last.
 LEAST_GAIN = 1e-6
-_HELD_PLACES = 20_000
+_HELD_PLACES = 2_000
+_ROWS = 2_000  # that a task turns into arrays at a time
 
 # The wording of a prediction.
 PREDICTION_FORMAT = (
@@ -67,6 +68,12 @@ def index_labels(df: DataFrame, column: str) -> StringIndexerModel:
     )
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(start, _ROWS)
+
+
 def _of_place(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """Adds ``__term``, null for a place without one. Spark sends the terms to all tasks if
     the table is small, and deals both sides by place if not."""
@@ -245,10 +252,8 @@ class _Newton:
                     names=["place", "n_p", "u", "data"],
                 )
 
-            for batch in batches:
+            for batch in _slices(batches):
                 m = batch.num_rows
-                if not m:
-                    continue
                 weight = batch.column("n").to_numpy()
                 inputs = [batch.column(f"x{i}").to_numpy() for i in range(1, f)]
                 x = np.column_stack([np.ones(m), *((c - a) / s for c, a, s in zip(inputs, mean, spread))])
@@ -279,7 +284,7 @@ class _Newton:
                     if name in held:
                         held[name][2] += data
                     else:
-                        held[name] = [float(n_p[at]), u[at], data]
+                        held[name] = [float(n_p[at]), u[at].copy(), data.copy()]  # not the whole arrays
                 if len(held) >= _HELD_PLACES:
                     yield flushed()
             if held:
@@ -326,7 +331,7 @@ class _Newton:
                     names=["place", "n_p", "u", "solved", "data"],
                 )
 
-            for batch in batches:
+            for batch in _slices(batches):
                 found = []
                 for name, n_p, u, data in zip(*(batch.column(c).to_pylist() for c in ("place", "n_p", "u", "data"))):
                     data = np.frombuffer(data)
@@ -353,7 +358,7 @@ class _Newton:
         k = self.classes
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _slices(batches):
                 m = batch.num_rows
                 u = batch.column("u").flatten().to_numpy().reshape(m, k)
                 solved = np.frombuffer(b"".join(batch.column("solved").to_pylist())).reshape(m, k, -1)

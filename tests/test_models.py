@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
@@ -292,3 +295,39 @@ def test_a_place_gives_one_row_a_step(spark, monkeypatch):
         spark.conf.set(limit, before)
     # A place may be cut where a task or a batch ends.
     assert made and max(made) <= 200 + len(rows) // 100 + 20
+
+
+def test_sums_hold_only_their_places(monkeypatch):
+    """Each batch brings 500 known places and a new one, whose sums must not keep the
+    arrays of the whole batch."""
+
+    class Rows:
+        def __getattr__(self, name):
+            return lambda *_: self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    rows = 2_000
+    newton = models._Newton.__new__(models._Newton)
+    for name, value in {"cells": Rows(), "mean": [0.0] * 3, "spread": [1.0] * 3, "classes": 5, "n": 1e6, "reg_param": 0.1}.items():
+        object.__setattr__(newton, name, value)
+    run = newton.sums_of_places(Rows(), np.zeros((5, 4)))
+
+    def batches():
+        for i in range(100):
+            place = pa.array([f"p{j % 500}" for j in range(rows - 1)] + [f"new{i}"])
+            x = pa.array(np.arange(rows) % 7.0)
+            u = pa.array([[0.0] * 5] * rows)
+            label = pa.array(np.arange(rows) % 5)
+            columns = {"place": place, "x1": x, "x2": x, "x3": x, "label": label, "n": pa.array(np.ones(rows)), "n_p": x, "u": u}
+            yield pa.RecordBatch.from_pydict(columns)
+
+    tracemalloc.start()
+    try:
+        given = list(run(batches()))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(b.num_rows for b in given) == 601
+    assert peak < 30e6
