@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 from placecount.llm.text import blocks
 
 SPACE = "▁"
-CACHE_RUNS = 500_000
+CACHE_RUNS = 250_000
 SHORT_RUN = 48
 _RUN = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _NO_PIECE = float("-inf")
@@ -58,9 +58,12 @@ class Vocabulary:
         self.unknown, self.end = lib.unk_id(), lib.eos_id()
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece goes on past a space mark; texts cannot be cut into runs")
-        # Runs used lately, and those used before them; together at most twice CACHE_RUNS.
-        self._runs: dict[str, tuple[str, int, str]] = {}
-        self._older: dict[str, tuple[str, int, str]] = {}
+        # Ids of runs used lately, joined by spaces, and of those used before them; what runs
+        # decode to is kept only where it is not the run itself.
+        self._runs: dict[str, str] = {}
+        self._older: dict[str, str] = {}
+        self._decoded: dict[str, str] = {}
+        self._older_decoded: dict[str, str] = {}
 
     def encode_run(self, run: str) -> list[int]:
         """Ids of one run, by the agenda."""
@@ -151,9 +154,13 @@ class Vocabulary:
         """Encode and decode the runs of texts that are not known yet, and check them."""
         if len(self._runs) > CACHE_RUNS:
             self._older, self._runs = self._runs, {}
+            self._older_decoded, self._decoded = self._decoded, {}
         wanted = set().union(*texts) - self._runs.keys()
         again = wanted & self._older.keys()
-        self._runs.update((run, self._older[run]) for run in again)
+        for run in again:  # a run is known once
+            self._runs[run] = self._older.pop(run)
+            if run in self._older_decoded:
+                self._decoded[run] = self._older_decoded.pop(run)
         new = list(wanted - again)
         found = [self.encode_run(run) for run in new]
         if self.check:
@@ -168,15 +175,18 @@ class Vocabulary:
                 if text.removeprefix(" ") != theirs:
                     raise ValueError(f"decoding differs from the library's: {run!r}")
         for run, ids, text in zip(new, found, decoded):
-            self._runs[run] = " ".join(map(str, ids)), len(ids), text
+            self._runs[run] = " ".join(map(str, ids))
+            if text != run.replace(SPACE, " "):
+                self._decoded[run] = text
 
     def known(self, runs: list[str]) -> tuple[str, int, str]:
         """Of a text whose runs are known: its ids joined by spaces, their number, and the
         text they decode to. No character's bytes lie in two runs, so runs decode alone."""
         if not runs:
             return "", 0, ""
-        ids, counts, texts = zip(*map(self._runs.__getitem__, runs))
-        return " ".join(ids), sum(counts), "".join(texts).removeprefix(" ")
+        ids = " ".join(map(self._runs.__getitem__, runs))
+        texts = (self._decoded.get(run, run) for run in runs) if self._decoded else runs
+        return ids, ids.count(" ") + 1, "".join(texts).replace(SPACE, " ").removeprefix(" ")
 
 
 @lru_cache(maxsize=1)
