@@ -20,8 +20,11 @@ than that, agree in some part (pigeonhole). Parts are joined by their hash.
   different components are taken up again. There the sets of the smallest components
   are leaders in turn, as all that the largest one's members lack is a comparison with
   those. Tasks hold a bounded number of leaders and pass the other sets by them, so
-  pairs that are too far apart are never rows. So no link is lost, and a group of
-  copies costs one comparison each.
+  pairs that are too far apart are never rows. Of pairs that would join the same
+  components a task gives one of the nearest at first, so it gives fewer rows than it
+  reads; only if a pair turns out to be no link are all others of the components that
+  are still apart tried. So no link is lost, and a group of copies costs one
+  comparison each.
 * A pair is verified by the Hamming distance of whole sketches, then by the texts.
 """
 
@@ -238,10 +241,11 @@ def _leading(rows: DataFrame, leaders: int) -> DataFrame:
     return first.select("key", "v", of_key.alias("rank")).where(F.col("rank") <= leaders).select("key", "v")
 
 
-def _near_pairs(marked: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+def _near_pairs(marked: DataFrame, vertices: DataFrame, percent: int, every: bool = False) -> DataFrame:
     """Pairs (a, b), a < b, of a leading set and another one of the same key but another
     component that sizes and sketches allow to link. The rows of a key are split over
-    tasks, to each of which its leaders go; there are at most ``MOST_LEADERS``.
+    tasks, to each of which its leaders go; there are at most ``MOST_LEADERS``. Without
+    ``every`` a task leaves out pairs of components that its other pairs join already.
     """
     columns = ("v", "root", "n", "sketch")
     members = marked.where("leads is null").select("key", "part", F.lit(1).alias("kind"), "v", "root")
@@ -258,6 +262,7 @@ def _near_pairs(marked: DataFrame, vertices: DataFrame, percent: int) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, leaders = None, []
         seen: set[tuple[int, int]] = set()  # sets that are alike share many keys
+        up: dict[int, int] | None = None if every else {}
         for batch in batches:
             place = list(zip(batch.column("key").to_pylist(), batch.column("part").to_pylist()))
             kinds = batch.column("kind").to_pylist()
@@ -271,24 +276,36 @@ def _near_pairs(marked: DataFrame, vertices: DataFrame, percent: int) -> DataFra
                     at, leaders = place[start], []
                 if kinds[start] == 0:  # the same leaders in every part of a key
                     if place[start][1] == 0:
-                        pairs |= _near(rows[start:stop], leaders + rows[start:stop], percent)
+                        pairs |= _near(rows[start:stop], leaders + rows[start:stop], percent, up)
                     leaders += rows[start:stop]
                 else:
-                    pairs |= _near(leaders, rows[start:stop], percent)
+                    pairs |= _near(leaders, rows[start:stop], percent, up)
                 start = stop
             pairs -= seen
             if len(seen) > _SEEN_PAIRS:
                 seen.clear()
             seen |= pairs
+            if up and len(up) > _SEEN_PAIRS:
+                up.clear()
             columns_out = zip(*sorted(pairs)) if pairs else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns_out], names=["a", "b"])
 
     return laid_out.mapInArrow(run, "a long, b long").distinct()
 
 
-def _near(leaders: list[tuple], members: list[tuple], percent: int) -> set[tuple[int, int]]:
+def _top(up: dict[int, int], root: int) -> int:
+    while (above := up.get(root, root)) != root:
+        up[root] = root = up.get(above, above)
+    return root
+
+
+def _near(
+    leaders: list[tuple], members: list[tuple], percent: int, up: dict[int, int] | None = None
+) -> set[tuple[int, int]]:
     """Pairs of (v, root, n, sketch) rows of different components within reach. Sketches
-    of one key have two lengths at most, or three; each is folded once."""
+    of one key have two lengths at most, or three; each is folded once. ``up`` leads from
+    components to those that pairs have joined them to: with it, of the pairs of a leader
+    and a component only the nearest counts, and only if it joins what is apart."""
     shortest = min(len(row[3]) for row in (*leaders, *members))
 
     def arrays(rows):
@@ -303,7 +320,17 @@ def _near(leaders: list[tuple], members: list[tuple], percent: int) -> set[tuple
         reach = (100 - percent) * (n + n_a) // (100 + percent)
         distance = np.bitwise_count(bits ^ bits_a).sum(axis=1)
         near = (distance <= reach) & (root != root_a) & (np.minimum(n, n_a) * 100 >= np.maximum(n, n_a) * percent)
-        found |= {(min(int(a), b), max(int(a), b)) for b in v[near].tolist()}
+        if up is None:
+            found |= {(min(int(a), b), max(int(a), b)) for b in v[near].tolist()}
+            continue
+        at = np.flatnonzero(near)
+        at = at[np.argsort(distance[at], kind="stable")]
+        at = at[np.unique(root[at], return_index=True)[1]]
+        for b, root_b in zip(v[at].tolist(), root[at].tolist()):
+            x, y = _top(up, int(root_a)), _top(up, root_b)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                found.add((min(int(a), b), max(int(a), b)))
     return found
 
 
@@ -344,28 +371,26 @@ def _linked(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, k: int, perc
         leader, members = None, set()
         for batch in batches:
             found = []
-            columns = (batch.column(c).to_pylist() for c in ("a", "kind", "v", "text"))
-            names = [_names(h)[0] if len(h) else None for h in _all_sets(batch.column("text"), k)]
-            for a, kind, v, text, name in zip(*columns, names):
-                if name != v:
-                    continue  # another text under the same id
-                if kind == 0:
-                    leader, members = a, _shingles(text, k)
-                elif leader == a:
-                    other = _shingles(text, k)
-                    both = len(members & other)
-                    if 100 * both >= percent * (len(members) + len(other) - both):
-                        found.append((a, v))
+            for start, stop in blocks(batch.column("text")):
+                some = batch.slice(start, stop - start)
+                columns = (some.column(c).to_pylist() for c in ("a", "kind", "v", "text"))
+                names = [_names(h)[0] if len(h) else None for h in _block_sets(some.column("text"), k)]
+                for a, kind, v, text, name in zip(*columns, names):
+                    if name != v:
+                        continue  # another text under the same id
+                    if kind == 0:
+                        leader, members = a, _shingles(text, k)
+                    elif leader == a:
+                        other = _shingles(text, k)
+                        both = len(members & other)
+                        if 100 * both >= percent * (len(members) + len(other) - both):
+                            found.append((a, v))
             columns = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["a", "b"])
 
     return durable(laid_out.mapInArrow(run, "a long, b long").distinct())
 
 
-def _all_sets(column: pa.Array, k: int) -> list[np.ndarray]:
-    return [s for start, stop in blocks(column) for s in _block_sets(column.slice(start, stop - start), k)]
-
-
 def link_classes(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each of ``docs`` (doc_id, text): the smallest
     id that links reach. Two texts link if 100 * shared shingles are at least ``percent``
@@ -416,15 +441,35 @@ def link_classes(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT
             break
         leads = _leading(rest, leaders).withColumn("leads", F.lit(True))
         marked = durable(rest.join(leads, ["key", "v"], "left"))
-        new = durable(_near_pairs(marked, vertices, percent).join(tested, ["a", "b"], "left_anti"))
-        if not new.isEmpty():
-            links = links.unionAll(_linked(new, vertices, docs, k, percent))
+        # Pairs left out are settled if all that stand for them are links.
+        rows = marked
+        for every in (False, True):
+            near = durable(_near_pairs(rows, vertices, percent, every))
+            new = durable(near.join(tested, ["a", "b"], "left_anti"))
+            if every and new.isEmpty() or near.isEmpty():
+                break
+            found, before = _linked(new, vertices, docs, k, percent), roots
+            links = links.unionAll(found)
             roots = components(links)
             tested = tested.unionAll(new)
+            if every or found.count() == near.count():
+                break
+            rows = _apart(marked, near, before, roots)
         rest, leaders = marked.where("leads is null").select("key", "v"), min(leaders * 16, MOST_LEADERS)
     return _classes(sets, vertices, roots)
 
 
+def _apart(marked: DataFrame, near: DataFrame, before: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the components ``before`` that the pairs ``near`` lie in, of keys that have
+    several components as those are now. Pairs left out are of such components only."""
+    ends = near.select(F.col("a").alias("v")).unionAll(near.select("b"))
+    touched = ends.join(before, "v", "left").select(F.coalesce("root", "v").alias("root")).distinct()
+    placed = marked.join(touched, "root", "left_semi").drop("root").join(roots, "v", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "v"))
+    several = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y")
+    return durable(placed.join(several.select("key"), "key"))
+
+
 def _classes(sets: DataFrame, vertices: DataFrame, roots: DataFrame) -> DataFrame:
     placed = vertices.select("v", "doc_id").join(roots, "v", "left").select("v", "doc_id", F.coalesce("root", "v").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -71,3 +71,14 @@ def test_components_of_a_path_and_a_star(spark, monkeypatch, edges_of_task):
     assert roots == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 140)}, 200: 200, 201: 200}
     none = spark.createDataFrame([], "a long, b long")
     assert components.components(none).collect() == []
+
+
+def test_a_crowd_makes_no_more_pairs_than_rows(spark):
+    """Sets that all link under one key, sixteen of them leading."""
+    rows = [(7, v, v, 0, 1, True if v < 16 else None) for v in range(400)]
+    marked = spark.createDataFrame(rows, "key long, v long, root long, part int, parts int, leads boolean")
+    vertices = spark.createDataFrame([(v, 50, bytes(16)) for v in range(400)], "v long, n long, sketch binary")
+    pairs = [tuple(r) for r in jaccard._near_pairs(marked, vertices, 85).collect()]
+    assert len(pairs) == 399
+    joined = spark.createDataFrame(pairs, "a long, b long")
+    assert {r.root for r in components.components(joined).collect()} == {0}
