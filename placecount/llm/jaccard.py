@@ -17,9 +17,11 @@ than that, agree in some part (pigeonhole). Parts are joined by their hash.
   different sets have the same name is checked.
 * Sets that share a part are not paired with each other: each is compared with the
   least of them. Verified links make components; only parts whose sets are still in
-  different components are taken up again. There the sets of the smallest components
-  are leaders in turn, as all that the largest one's members lack is a comparison with
-  those. Tasks hold a bounded number of leaders and pass the other sets by them, so
+  different components are taken up again. Of a part with few sets all lead, so one
+  round settles it; of one with many, the sets of the smallest components are leaders
+  in turn, as all that the largest one's members lack is a comparison with those. Only
+  the sketches of sets that are taken up go into the rounds. Tasks hold a bounded
+  number of leaders and pass the other sets by them, so
   pairs that are too far apart are never rows. Of pairs that would join the same
   components a task gives one of the nearest at first, so it gives fewer rows than it
   reads; only if a pair turns out to be no link are all others of the components that
@@ -48,14 +50,18 @@ PARTS_PER_DIFFERENCE = 1.5
 PART_BITS = 1024
 SKETCH_BITS = 2
 SEEDS = 4
+# Under a key with up to ALL_LEAD sets all lead; else so many at first, and ever more.
+ALL_LEAD = 4096
 LEADERS = 16
 MOST_LEADERS = 4096
 MEMBERS_PER_TASK_ROW = 2_000
 COMPARED_PER_LEADER_ROW = 64
-# Ids of texts to compare are sent to all tasks up to this number, 16 bytes each.
+# Ids of texts or sets are sent to all tasks up to this number, 16 bytes each.
 BROADCAST_IDS = 1_000_000
 _SEEN = 300_000
 _SEEN_PAIRS = 1_000_000
+_PAIRS_OF_BATCH = 200_000
+_COMPARED_BYTES = 1 << 20
 
 _U = np.uint64
 _C1, _C2, _C3 = _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB), _U(0x8EBC6AF09C88C6E3)
@@ -281,14 +287,17 @@ def _near_pairs(marked: DataFrame, vertices: DataFrame, percent: int, every: boo
                 else:
                     pairs |= _near(leaders, rows[start:stop], percent, up)
                 start = stop
-            pairs -= seen
-            if len(seen) > _SEEN_PAIRS:
-                seen.clear()
-            seen |= pairs
-            if up and len(up) > _SEEN_PAIRS:
-                up.clear()
-            columns_out = zip(*sorted(pairs)) if pairs else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns_out], names=["a", "b"])
+                if len(pairs) < _PAIRS_OF_BATCH and stop < len(rows):
+                    continue
+                pairs -= seen
+                if len(seen) > _SEEN_PAIRS:
+                    seen.clear()
+                seen |= pairs
+                if up and len(up) > _SEEN_PAIRS:
+                    up.clear()
+                columns_out = zip(*sorted(pairs)) if pairs else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns_out], names=["a", "b"])
+                pairs = set()
 
     return laid_out.mapInArrow(run, "a long, b long").distinct()
 
@@ -315,22 +324,29 @@ def _near(
         return *(np.array([row[i] for row in rows], np.int64) for i in range(3)), np.array(folded)
 
     v, root, n, bits = arrays(members)
+    lead, lead_root, lead_n, lead_bits = arrays(leaders)
     found = set()
-    for a, root_a, n_a, bits_a in zip(*arrays(leaders)):
-        reach = (100 - percent) * (n + n_a) // (100 + percent)
-        distance = np.bitwise_count(bits ^ bits_a).sum(axis=1)
-        near = (distance <= reach) & (root != root_a) & (np.minimum(n, n_a) * 100 >= np.maximum(n, n_a) * percent)
-        if up is None:
-            found |= {(min(int(a), b), max(int(a), b)) for b in v[near].tolist()}
+    step = max(1, _COMPARED_BYTES // max(1, bits.nbytes))
+    for begin in range(0, len(lead), step):
+        some = slice(begin, begin + step)
+        n_a, root_a = lead_n[some, None], lead_root[some, None]
+        fits = (root != root_a) & (np.minimum(n, n_a) * 100 >= np.maximum(n, n_a) * percent)
+        if not fits.any():
             continue
-        at = np.flatnonzero(near)
-        at = at[np.argsort(distance[at], kind="stable")]
-        at = at[np.unique(root[at], return_index=True)[1]]
-        for b, root_b in zip(v[at].tolist(), root[at].tolist()):
-            x, y = _top(up, int(root_a)), _top(up, root_b)
-            if x != y:
-                up[max(x, y)] = min(x, y)
-                found.add((min(int(a), b), max(int(a), b)))
+        distance = np.bitwise_count(bits ^ lead_bits[some, None]).sum(axis=2, dtype=np.int64)
+        near = fits & (distance <= (100 - percent) * (n + n_a) // (100 + percent))
+        for i in np.flatnonzero(near.any(axis=1)).tolist():
+            at, a = np.flatnonzero(near[i]), int(lead[begin + i])
+            if up is None:
+                found |= {(min(a, b), max(a, b)) for b in v[at].tolist()}
+                continue
+            at = at[np.argsort(distance[i, at], kind="stable")]
+            at = at[np.unique(root[at], return_index=True)[1]]
+            for b, root_b in zip(v[at].tolist(), root[at].tolist()):
+                x, y = _top(up, int(lead_root[begin + i])), _top(up, root_b)
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+                    found.add((min(a, b), max(a, b)))
     return found
 
 
@@ -340,13 +356,13 @@ def _shingles(text: str, k: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(w[i:] for i in range(k)))) if len(w) >= k else {tuple(w)}
 
 
-def _linked(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs whose texts have the wanted similarity, written to the shared folder.
+def _linked(near: DataFrame, vertices: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of the pairs ``near`` (written, within reach) whose texts have the wanted
+    similarity, written to the shared folder.
 
     Texts are brought to the first of a pair, whose own text is repeated for every
     ``COMPARED_PER_LEADER_ROW`` partners; so partners of one set spread over tasks.
     """
-    near = durable(_within_reach(pairs, vertices, percent))
     ends = near.select(F.col("a").alias("v")).unionAll(near.select("b")).distinct()
     wanted = durable(ends.join(vertices, "v").select("v", F.col("doc_id").alias("_id")))
     few = wanted.count() <= BROADCAST_IDS
@@ -416,8 +432,9 @@ def link_classes(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT
     shared = durable(_shared(sets.select(F.explode("keys").alias("key"), "v")))
     follow = shared.where("v != lead")
     tested = durable(follow.select(F.col("lead").alias("a"), F.col("v").alias("b")).distinct())
-    links = _linked(tested, vertices, docs, k, percent)
+    links = _linked(durable(_within_reach(tested, vertices, percent)), vertices, docs, k, percent)
     roots = components(links)
+    every_vertex = vertices
     rest, leaders = follow.select("key", "v"), LEADERS
     while True:
         # Parts whose sets lie in several components still hide pairs never compared.
@@ -434,13 +451,21 @@ def link_classes(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT
         )
         # Sets that are alike share many keys; one of those with the same sets is enough.
         alone = several.where("x < y").groupBy("rows", "sets1", "sets2").agg(F.min("key").alias("key"))
-        several = alone.select("key", F.ceil(F.col("rows") / MEMBERS_PER_TASK_ROW).cast("int").alias("parts"))
+        several = alone.select(
+            "key", "rows", F.ceil(F.col("rows") / MEMBERS_PER_TASK_ROW).cast("int").alias("parts")
+        )
         own = F.pmod(F.xxhash64("v"), "parts").cast("int").alias("part")
         rest = durable(placed.join(several, "key").select("*", own))
         if rest.isEmpty():
             break
-        leads = _leading(rest, leaders).withColumn("leads", F.lit(True))
-        marked = durable(rest.join(leads, ["key", "v"], "left"))
+        vertices = _taken_up(vertices, rest)
+        crowded = F.col("rows") > ALL_LEAD
+        marked = rest.where(~crowded).withColumn("leads", F.lit(True))
+        crowds = not rest.where(crowded).isEmpty()
+        if crowds:
+            crowd = rest.where(crowded)
+            leads = _leading(crowd, leaders).withColumn("leads", F.lit(True))
+            marked = durable(marked.unionByName(crowd.join(leads, ["key", "v"], "left")))
         # Pairs left out are settled if all that stand for them are links.
         rows = marked
         for every in (False, True):
@@ -455,8 +480,18 @@ def link_classes(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT
             if every or found.count() == near.count():
                 break
             rows = _apart(marked, near, before, roots)
+        if not crowds:
+            break
         rest, leaders = marked.where("leads is null").select("key", "v"), min(leaders * 16, MOST_LEADERS)
-    return _classes(sets, vertices, roots)
+    return _classes(sets, every_vertex, roots)
+
+
+def _taken_up(vertices: DataFrame, rest: DataFrame) -> DataFrame:
+    """The ``vertices`` that occur in ``rest``, written, so that no step of a round reads
+    or shuffles all others."""
+    ids = durable(rest.select("v").distinct())
+    few = ids.count() <= BROADCAST_IDS
+    return durable(vertices.join(F.broadcast(ids) if few else ids, "v", "left_semi"))
 
 
 def _apart(marked: DataFrame, near: DataFrame, before: DataFrame, roots: DataFrame) -> DataFrame:

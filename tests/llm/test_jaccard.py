@@ -82,3 +82,42 @@ def test_a_crowd_makes_no_more_pairs_than_rows(spark):
     assert len(pairs) == 399
     joined = spark.createDataFrame(pairs, "a long, b long")
     assert {r.root for r in components.components(joined).collect()} == {0}
+
+
+@pytest.mark.parametrize("all_lead,most_passes", [(4096, 2), (2, None)])
+def test_parts_with_few_sets_take_one_round(spark, monkeypatch, all_lead, most_passes):
+    """Two passes settle them however few lead at first; crowds go on in rounds."""
+    passes = []
+    near_pairs = jaccard._near_pairs
+
+    def counted(marked, vertices, *more):
+        keys = marked.select("v").distinct()
+        passes.append(vertices.join(keys, "v", "left_anti").isEmpty() or more[-1])
+        return near_pairs(marked, vertices, *more)
+
+    monkeypatch.setattr(jaccard, "_near_pairs", counted)
+    monkeypatch.setattr(jaccard, "ALL_LEAD", all_lead, raising=False)
+    monkeypatch.setattr(jaccard, "LEADERS", 1)
+    monkeypatch.setattr(jaccard, "_PAIRS_OF_BATCH", 3, raising=False)
+    monkeypatch.setattr(jaccard, "_COMPARED_BYTES", 500, raising=False)
+    docs = texts(11)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard.link_classes(frame, 5, 80).collect())
+    assert got == brute.jaccard_components(docs, 5, 80)
+    assert passes and all(passes)  # sketches of the sets taken up only
+    assert most_passes is None or len(passes) <= most_passes
+
+
+def test_near_compares_in_steps(monkeypatch):
+    r = np.random.default_rng(5)
+    rows = [(v, v % 7, 40, r.integers(0, 4, 32, np.uint8).tobytes()) for v in range(60)]
+    want = {
+        (a[0], b[0])
+        for a in rows
+        for b in rows
+        if a[0] < b[0] and a[1] != b[1] and jaccard.hamming(a[3], b[3]) <= jaccard.max_difference(80, 50)
+    }
+    for size in (1, 3000, 1 << 20):
+        monkeypatch.setattr(jaccard, "_COMPARED_BYTES", size, raising=False)
+        assert jaccard._near(rows, rows, 50) == want
+    assert 0 < len(want) < 1500
