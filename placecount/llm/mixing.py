@@ -75,6 +75,8 @@ def water_fill(sizes: DataFrame, cycle: tuple[int, ...] = CYCLE, max_epochs: int
 
 # Up to so many sources, what is known of each is sent to all tasks.
 BROADCAST_SOURCES = 10_000
+# Up to so many ids of documents taken are sent to all tasks, about 30 bytes each.
+BROADCAST_IDS = 1_000_000
 
 
 def _choice() -> Column:
@@ -154,9 +156,14 @@ def quality_weights(docs: DataFrame, labels: DataFrame, good: float = 2.0, poor:
 
 def repeat_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """Each document as many times as the mix takes it. Rows of ``mixed`` (doc_id,
-    repeats) that share an id count as one, with the most repeats."""
+    repeats) that share an id count as one, with the most repeats. Texts are shuffled
+    only if more than ``BROADCAST_IDS`` documents are taken."""
     id_, times, copy = (spare(docs.columns, name) for name in ("id", "times", "copy"))
-    taken = mixed.groupBy(F.col("doc_id").alias(id_)).agg(F.max("repeats").alias(times)).where(F.col(times) > 0)
+    taken = durable(
+        mixed.groupBy(F.col("doc_id").alias(id_)).agg(F.max("repeats").alias(times)).where(F.col(times) > 0)
+    )
+    if taken.count() <= BROADCAST_IDS:
+        taken = F.broadcast(taken)
     return (
         docs.join(taken, F.col("doc_id").eqNullSafe(F.col(id_)))
         .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))

@@ -32,6 +32,8 @@ OWNED = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ("assign", "access", "hex", "owned")
 
 HOT_VALUES, HOT_USES = 1_000, 10_000
+# Live spans are sent to all tasks up to this number, about 40 bytes each.
+BROADCAST_SPANS = 1_000_000
 EXAMPLE_OWNERS = 3
 EXAMPLE_REPOS = 8
 MASK = "[secret]"
@@ -202,9 +204,14 @@ def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
 def mask_live(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
     """``docs`` with the live-looking secrets of each text masked and n_chars renewed."""
     id_, hash_, spans = (spare(docs.columns, name) for name in ("id", "hash", "live"))
-    live = scan(docs, owner, repo).where(F.size("live") > 0).select(
-        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("live").alias(spans)
-    ).dropDuplicates([id_, hash_])
+    live = durable(
+        scan(docs, owner, repo)
+        .where(F.size("live") > 0)
+        .select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("live").alias(spans))
+        .dropDuplicates([id_, hash_])
+    )
+    if (live.agg(F.sum(F.size(spans))).first()[0] or 0) <= BROADCAST_SPANS:
+        live = F.broadcast(live)  # texts with live spans are few; the others stay where they are
     same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(hash_))
     clean = F.col(spans).isNull()
     out = docs.join(live, same, "left").withColumn(
