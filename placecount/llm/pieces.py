@@ -4,7 +4,9 @@ Encoding keeps an agenda of adjacent symbol pairs whose join is a piece, ordered
 the piece's score and then by position. The best pair is joined and its new
 neighbours enter the agenda, until it is empty. Symbols that are no pieces fall back
 to bytes. The agenda of a long run is a heap; that of a short one is a plain list of
-scores, searched for its first largest entry, which takes less time there.
+scores, searched for its first largest entry, which takes less time there. Short runs of
+equal length are joined side by side: their agendas are rows of one array, and each step
+joins the best pair of every row.
 
 No piece of such a vocabulary goes on past a space mark that follows another sign, so
 a text is encoded run by run ("▁▁word"), and a run seen before is not encoded again.
@@ -20,6 +22,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 from os import PathLike
 
 import numpy as np
@@ -32,6 +35,8 @@ from placecount.llm.text import blocks
 SPACE = "▁"
 CACHE_RUNS = 250_000
 SHORT_RUN = 48
+_ROWS = 8  # so many runs of a length are worth an array
+_NO_RANK = np.iinfo(np.int32).max
 _RUN = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _NO_PIECE = float("-inf")
 _OUT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -58,6 +63,14 @@ class Vocabulary:
         self.unknown, self.end = lib.unk_id(), lib.eos_id()
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece goes on past a space mark; texts cannot be cut into runs")
+        self._unprinted = self.special | self.byte_of.keys()
+        self._decimals = list(map(str, range(n)))
+        # A symbol is the id of its piece, or n and the code point of a sign that is no piece.
+        self._symbol_of = np.arange(n, n + 0x110000, dtype=np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self._symbol_of[ord(piece)] = i
+        self._pair_keys, self._joined, self._ranks = self._pairs()
         # Ids of runs used lately, joined by spaces, and of those used before them; what runs
         # decode to is kept only where it is not the run itself.
         self._runs: dict[str, str] = {}
@@ -79,6 +92,100 @@ class Vocabulary:
                 out.append(self.unknown)
         return out
 
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys of all pairs of symbols that join to a piece, the ids of those pieces and
+        their ranks by score; last a key that no pair has."""
+        keys, joined = [], []
+        for piece, i in self.ids.items():
+            for k in range(1, len(piece)):
+                left, right = (
+                    self.ids[s] if s in self.ids else int(self._symbol_of[ord(s)]) if len(s) == 1 else -1
+                    for s in (piece[:k], piece[k:])
+                )
+                if left >= 0 and right >= 0:
+                    keys.append(left << 32 | right)
+                    joined.append(i)
+        order = np.argsort(np.array(keys, np.int64))
+        losses = np.array([-self.scores[self.pieces[i]] for i in joined], float)
+        _, ranks = np.unique(losses, return_inverse=True)
+        return (
+            np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max),
+            np.append(np.array(joined, np.int32)[order], np.int32(-1)),
+            np.append(ranks.astype(np.int32)[order], np.int32(_NO_RANK)),
+        )
+
+    def encode_runs(self, runs: list[str]) -> list[list[int]]:
+        """Ids of each run, as ``encode_run`` gives them. Takes least time if runs of equal
+        length follow each other."""
+        found: list[list[int]] = []
+        for size, same in groupby(runs, len):
+            some = list(same)
+            short = size <= SHORT_RUN and len(some) >= _ROWS
+            found += self._side_by_side(some, size) if short else map(self.encode_run, some)
+        return found
+
+    def _side_by_side(self, runs: list[str], size: int) -> list[list[int]]:
+        """Ids of runs of ``size`` signs each. Places number the signs of all runs; a joined
+        symbol stands at the place of its first sign."""
+        signs = np.frombuffer("".join(runs).encode("utf-32-le"), np.uint32)
+        symbols = self._symbol_of[signs]
+        places = np.arange(len(symbols))
+        column = places % size
+        after = np.where(column < size - 1, places + 1, -1)
+        before = np.where(column, places - 1, -1)
+        pair = np.full(len(symbols), len(self._joined) - 1)
+        ranks = np.full(len(symbols), _NO_RANK, np.int32)
+
+        def propose(left: np.ndarray, right: np.ndarray) -> None:
+            key = symbols[left].astype(np.int64) << 32 | symbols[right]
+            at = np.searchsorted(self._pair_keys, key)
+            pair[left] = at
+            ranks[left] = np.where(self._pair_keys[at] == key, self._ranks[at], _NO_RANK)
+
+        if size > 1:
+            propose(places[after >= 0], places[before >= 0])
+        rows = np.arange(len(runs))
+        by_row = ranks.reshape(len(runs), size)
+        while len(rows):
+            left = rows * size + by_row[rows].argmin(axis=1)  # the first of equal ones
+            open_ = ranks[left] < _NO_RANK
+            rows, left = rows[open_], left[open_]
+            right = after[left]
+            symbols[left] = self._joined[pair[left]]
+            symbols[right] = -1
+            ranks[left] = ranks[right] = _NO_RANK
+            following = after[left] = after[right]
+            more = following >= 0
+            before[following[more]] = left[more]
+            propose(left[more], following[more])
+            previous = before[left]
+            more = previous >= 0
+            propose(previous[more], left[more])
+        stands = symbols >= 0
+        row, ids = (places // size)[stands], symbols[stands]
+        foreign = ids >= len(self.pieces)
+        if foreign.any():
+            ids, times = self._fallen_back(ids, foreign)
+            row = np.repeat(row, times)
+        ends = np.cumsum(np.bincount(row, minlength=len(runs))).tolist()
+        ids = ids.tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _fallen_back(self, symbols: np.ndarray, foreign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols with the ids of their bytes, or the unknown id, in place of signs that are
+        no pieces; and how many ids each symbol has become."""
+        signs, which = np.unique(symbols[foreign] - len(self.pieces), return_inverse=True)
+        table = np.full((len(signs), 4), -1, np.int32)
+        for i, sign in enumerate(signs.tolist()):
+            ids = [self.bytes[b] for b in chr(sign).encode()] if self.bytes else [self.unknown]
+            table[i, : len(ids)] = ids
+        filled = table[which]
+        times = np.ones(len(symbols), np.int64)
+        times[foreign] = (filled >= 0).sum(axis=1)
+        out = np.repeat(symbols, times)
+        out[np.repeat(foreign, times)] = filled[filled >= 0]
+        return out, times
+
     def _joined_by_list(self, run: str) -> list[str]:
         score = self.scores.get
         symbols = list(run)
@@ -130,6 +237,8 @@ class Vocabulary:
         return self._decode_run(ids).removeprefix(" ")
 
     def _decode_run(self, ids: list[int]) -> str:
+        if self._unprinted.isdisjoint(ids):
+            return "".join([self.pieces[i] for i in ids]).replace(SPACE, " ")
         out, pending = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -161,8 +270,8 @@ class Vocabulary:
             self._runs[run] = self._older.pop(run)
             if run in self._older_decoded:
                 self._decoded[run] = self._older_decoded.pop(run)
-        new = list(wanted - again)
-        found = [self.encode_run(run) for run in new]
+        new = sorted(wanted - again, key=len)
+        found = self.encode_runs(new)
         if self.check:
             # The library puts the first space mark itself; it has none for an empty text.
             expected = self.library.encode([run[1:].replace(SPACE, " ") for run in new], num_threads=1)
@@ -175,7 +284,7 @@ class Vocabulary:
                 if text.removeprefix(" ") != theirs:
                     raise ValueError(f"decoding differs from the library's: {run!r}")
         for run, ids, text in zip(new, found, decoded):
-            self._runs[run] = " ".join(map(str, ids))
+            self._runs[run] = " ".join([self._decimals[i] for i in ids])
             if text != run.replace(SPACE, " "):
                 self._decoded[run] = text
 

@@ -1,5 +1,6 @@
 """The runs that an encoder remembers."""
 
+import random
 import sys
 
 from placecount.llm import pieces
@@ -33,3 +34,35 @@ def test_a_run_is_remembered_in_few_bytes():
     held = sum(map(size, vocabulary._runs.values())) + sum(map(size, vocabulary._decoded.values()))
     assert len(vocabulary._runs) == 5_000 and held < 5_000 * 80
     assert 2 * pieces.CACHE_RUNS * 300 < 200e6  # with keys and tables
+
+
+def test_runs_of_equal_length_are_joined_side_by_side(monkeypatch):
+    vocabulary = pieces.Vocabulary(MODEL_FILE)
+    rng = random.Random(5)
+    signs = "aaabeeilnorst.,\n\tÉéêèüß中文\U0001f9ff\u0301\ufffd0189"
+    runs = [
+        rng.choice(["▁", "▁▁", ""]) + "".join(rng.choices(signs, k=size)) for size in range(1, 46) for _ in range(40)
+    ]
+    runs += ["▁"] * 9 + ["▁▁▁▁"] * 9 + ["▁" + "a" * 60] * 9 + ["▁<0x41>", "▁"]
+    one_by_one = [vocabulary.encode_run(run) for run in runs]
+    assert vocabulary.encode_runs(runs) == one_by_one
+    in_order = sorted(runs, key=len)
+    assert vocabulary.encode_runs(in_order) == [vocabulary.encode_run(run) for run in in_order]
+    assert vocabulary.encode_runs([]) == []
+
+    def never(run):
+        raise AssertionError("joined alone")
+
+    monkeypatch.setattr(vocabulary, "encode_run", never)
+    alike = [f"▁w{i:04d}\U0001f9ff" for i in range(500)]
+    vocabulary.learn([alike])
+    assert len(vocabulary._runs) == 500
+
+
+def test_equal_scores_join_the_first_pair():
+    vocabulary = pieces.Vocabulary(MODEL_FILE)
+    vocabulary.scores = {piece: -float(len(piece) % 3) for piece in vocabulary.scores}
+    vocabulary._pair_keys, vocabulary._joined, vocabulary._ranks = vocabulary._pairs()
+    rng = random.Random(6)
+    runs = ["▁" + "".join(rng.choices("aeinrst", k=9)) for _ in range(300)]
+    assert vocabulary.encode_runs(runs) == [vocabulary.encode_run(run) for run in runs]
