@@ -33,7 +33,7 @@ from pyspark.sql.types import StructType
 from placecount.llm.text import blocks
 
 SPACE = "▁"
-CACHE_RUNS = 250_000
+CACHE_RUNS = 60_000
 SHORT_RUN = 48
 _ROWS = 8  # so many runs of a length are worth an array
 _NO_RANK = np.iinfo(np.int32).max

@@ -36,6 +36,13 @@ def test_a_run_is_remembered_in_few_bytes():
     assert 2 * pieces.CACHE_RUNS * 300 < 200e6  # with keys and tables
 
 
+def test_runs_remembered_are_few():
+    vocabulary = pieces.Vocabulary(MODEL_FILE, check=False)
+    for start in range(0, 250_000, 10_000):
+        vocabulary.learn([[f"▁{i:06d}" for i in range(start, start + 10_000)]])
+        assert len(vocabulary._runs) + len(vocabulary._older) <= 150_000
+
+
 def test_runs_of_equal_length_are_joined_side_by_side(monkeypatch):
     vocabulary = pieces.Vocabulary(MODEL_FILE)
     rng = random.Random(5)

@@ -93,3 +93,12 @@ def test_shared_beginnings():
     assert {"hate*", "hate**", "hatef*", "hatred"} - found.keys() == {"hate*", "hate**"} - found.keys()
     assert "hatr*" in found and "hatr**" not in found
     assert toxicity.text_features({"hatefuls", "hatefully"}) >= {"hate**", "hatef**", "hatefu**"}
+
+
+def test_words_remembered_are_few():
+    model, cache = toxicity.Model({"vile": 1.0}, -2.0), {}
+    as_letters = str.maketrans("0123456789", "abcdefghij")
+    for start in range(0, 100_000, 10_000):
+        words = " ".join(str(i).translate(as_letters) for i in range(start, start + 10_000))
+        assert isclose(model.score_all([f"{words} vile"], cache)[0], 1 / (1 + exp(1.0)))
+        assert len(cache) <= 50_000
